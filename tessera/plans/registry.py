@@ -257,3 +257,10 @@ SELECT 'modified_has_modification', count(*), count(*) FILTER (WHERE is_modified
        {_slug_sql("p_brand || ' - ' || p_type || ' (%)'")} AS slug FROM part""",
     "cast_audit": _audit_sql(),
 }
+
+
+# Import path: shards written from the driver tables, read back.
+from tessera.plans import export_import as _export_import  # noqa: E402
+
+QUERIES.update(_export_import.QUERIES)
+ORACLES.update(_export_import.ORACLES)
