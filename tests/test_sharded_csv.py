@@ -1,0 +1,139 @@
+import os
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tessera.sources.sharded_csv import list_shards, read_header, read_sharded_csv, shard_number, write_sharded_csv
+
+HEADER = "Reference,Reference,Epitope,Epitope,Assay\nIRI,Date,IRI,Name,Response Frequency (%)\n"
+
+
+def _write(d, name, text):
+    with open(os.path.join(d, name), "w", encoding="utf-8") as f:
+        f.write(text)
+
+
+@pytest.fixture()
+def shards(tmp_dir):
+    _write(tmp_dir, "export_00.csv", HEADER + 'r1,2020,e1,"a ""q"" b",1.5\nr2,2019,e2,"x\ny",\n')
+    _write(tmp_dir, "export_9.csv", 'r3,2021,"","c,d",\n')
+    _write(tmp_dir, "export_10.csv", "r4,,e4,plain\n")  # short row: one field missing
+    _write(tmp_dir, "notes.txt", "ignored")
+    return tmp_dir
+
+
+def test_numeric_shard_order(spark, shards):
+    names = [p.rsplit("/", 1)[-1] for p in list_shards(spark, shards)]
+    assert names == ["export_00.csv", "export_9.csv", "export_10.csv"]
+    assert shard_number("x_y_10.csv") == 10
+
+
+def test_header_composed(spark, shards):
+    names = read_header(spark, os.path.join(shards, "export_00.csv"))
+    assert names[0] == "Reference - IRI" and names[2] == "Epitope - IRI"
+    assert names[4] == "Assay - Response Frequency (%)"
+
+
+def test_read_all_shards(spark, shards):
+    df = read_sharded_csv(spark, shards, casts={"Reference - Date": "smallint",
+                                                 "Assay - Response Frequency (%)": "double"})
+    assert df.columns == ["reference_iri", "reference_date", "epitope_iri", "epitope_name",
+                          "assay_response_frequency_percent"]
+    assert dict(df.dtypes)["reference_date"] == "smallint"
+    rows = {r["reference_iri"]: r for r in df.collect()}
+    assert set(rows) == {"r1", "r2", "r3", "r4"}  # header rows gone, no data row lost
+    assert rows["r1"]["epitope_name"] == 'a "q" b'
+    assert rows["r2"]["epitope_name"] == "x\ny"
+    assert rows["r2"]["assay_response_frequency_percent"] is None  # unquoted empty -> null
+    assert rows["r3"]["epitope_name"] == "c,d"
+    assert rows["r4"]["reference_date"] is None
+    assert rows["r4"]["assay_response_frequency_percent"] is None  # short row padded
+    assert rows["r1"]["assay_response_frequency_percent"] == 1.5
+
+
+def test_quoted_empty_is_empty_string(spark, shards):
+    df = read_sharded_csv(spark, shards, cast=False)
+    r3 = df.where(F.col("reference_iri") == "r3").first()
+    assert r3["epitope_iri"] == ""
+    assert r3["assay_response_frequency_percent"] is None
+
+
+def test_original_names_mode(spark, shards):
+    df = read_sharded_csv(spark, shards, slugs=False, cast=False)
+    assert df.columns[4] == "Assay - Response Frequency (%)"
+
+
+def test_rows_per_shard(spark, shards):
+    df = read_sharded_csv(spark, shards, cast=False, rows_per_shard=1)
+    assert sorted(r[0] for r in df.collect()) == ["r1", "r3", "r4"]
+
+
+def test_cast_failure_raises(spark, tmp_dir):
+    _write(tmp_dir, "e_00.csv", "A,A\nx,y\n1,abc\n")
+    df = read_sharded_csv(spark, tmp_dir, casts={"A - y": "int"})
+    with pytest.raises(PySparkException):
+        df.collect()
+
+
+def test_overflow_raises(spark, tmp_dir):
+    _write(tmp_dir, "e_00.csv", "A,A\nx,year\n1,40000\n")
+    df = read_sharded_csv(spark, tmp_dir, casts={"A - year": "smallint"})
+    with pytest.raises(PySparkException):
+        df.collect()
+
+
+def test_missing_cast_column_raises(spark, tmp_dir):
+    _write(tmp_dir, "e_00.csv", "A,A\nx,y\n1,2\n")
+    with pytest.raises(KeyError):
+        read_sharded_csv(spark, tmp_dir, casts={"A - z": "int"})
+
+
+def test_long_row_raises(spark, tmp_dir):
+    _write(tmp_dir, "e_00.csv", "A,A\nx,y\n1,2\n")
+    _write(tmp_dir, "e_01.csv", "3,4,5\n")
+    df = read_sharded_csv(spark, tmp_dir)
+    with pytest.raises(PySparkException, match="more fields"):
+        df.collect()
+
+
+def test_slug_collision_raises(spark, tmp_dir):
+    _write(tmp_dir, "e_00.csv", "A,A\n- b,- B\n1,2\n")
+    with pytest.raises(ValueError, match="not unique"):
+        read_sharded_csv(spark, tmp_dir)
+
+
+def test_missing_header_shard(spark, tmp_dir):
+    _write(tmp_dir, "e_01.csv", "1,2\n")
+    with pytest.raises(FileNotFoundError):
+        list_shards(spark, tmp_dir)
+    with pytest.raises(FileNotFoundError):
+        list_shards(spark, tmp_dir, header_file="e_00.csv")
+
+
+def test_empty_directory(spark, tmp_dir):
+    with pytest.raises(FileNotFoundError):
+        list_shards(spark, tmp_dir)
+
+
+def test_non_numeric_suffix(spark, tmp_dir):
+    _write(tmp_dir, "e_00.csv", "A\nx\n1\n")
+    _write(tmp_dir, "e_final.csv", "2\n")
+    with pytest.raises(ValueError):
+        list_shards(spark, tmp_dir)
+
+
+def test_write_then_read_roundtrip(spark, tmp_dir):
+    df = spark.range(0, 50).select(
+        F.col("id").alias("k"),
+        F.concat(F.lit('v "'), F.col("id").cast("string"), F.lit('",\nend')).alias("v"),
+    )
+    out = os.path.join(tmp_dir, "out")
+    paths = write_sharded_csv(df, out, "t", 3, ["G", "G"], ["Key", "Value"],
+                              shard_col=F.pmod("k", F.lit(3)), order_col=F.col("k"))
+    assert [p.rsplit("/", 1)[-1] for p in paths] == ["t_00.csv", "t_01.csv", "t_02.csv"]
+    with open(paths[1].replace("file:", ""), encoding="utf-8") as f:
+        assert not f.read().startswith("G,G")  # header in shard 00 only
+    back = read_sharded_csv(spark, out, casts={"G - Key": "bigint"})
+    assert back.columns == ["g_key", "g_value"]
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
