@@ -17,9 +17,14 @@ UNIPROT_PATTERN = r"uniprot/([A-Z0-9]+)"
 EPITOPE_ID_PATTERN = r"epitope/(\d+)"
 SPECIFIC_ALLELE_PATTERN = r"[*:]"
 RESIDUES_ONLY_PATTERN = r"^[A-Z]+$"
-# Java's \s is ASCII-only unless UNICODE_CHARACTER_CLASS is on; (?U) turns it on,
-# so no-break spaces and other Unicode blanks are removed as well.
-WHITESPACE_RUN = r"(?U)\s+"
+# Unicode White_Space, the set a Unicode-aware regex "\s" matches (Java's
+# "(?U)\s", Rust's "\s"): U+0009-U+000D, U+0020, U+0085, U+00A0, U+1680,
+# U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000. Deleting them with
+# translate() equals regexp_replace(c, "(?U)\s+", "") without a regex engine.
+UNICODE_WHITESPACE = "".join(
+    chr(c) for c in [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                     0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+)
 
 
 def _c(col: Column | str) -> Column:
@@ -32,8 +37,8 @@ def before_literal(col: Column | str, sep: str) -> Column:
 
 
 def strip_whitespace(col: Column | str) -> Column:
-    """Remove every run of (Unicode) whitespace."""
-    return F.regexp_replace(_c(col), WHITESPACE_RUN, "")
+    """Remove every (Unicode) whitespace character."""
+    return F.translate(_c(col), UNICODE_WHITESPACE, "")
 
 
 def clean_sequence(col: Column | str) -> Column:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this library relies on. ANSI mode makes casts strict
 # (a value that does not fit raises), which is what the import contract needs.
@@ -51,6 +51,22 @@ def get_session(
     return spark
 
 
+def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A single large Parquet row group (or one unsplittable file) is read by one
+    task, and everything fused into that stage (joins with a broadcast side,
+    projections, partial aggregation) then runs single-threaded. Below the
+    target, hash-repartition on all (already selected) columns: deterministic,
+    no local sort. At scale the input has far more splits than cores and this
+    is a no-op (only the planned split count is inspected; no job runs).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *df.columns)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
