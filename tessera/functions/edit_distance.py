@@ -67,7 +67,10 @@ def _dl_series(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="Int32")
 
 
-_dl_udf = F.pandas_udf(_dl_series, IntegerType())
+# Marked non-deterministic so the optimizer never duplicates the Python call:
+# a filter on the distance would otherwise be pushed below a de-duplicating
+# aggregate and the kernel evaluated a second time for the projection.
+_dl_udf = F.pandas_udf(_dl_series, IntegerType()).asNondeterministic()
 
 
 def damerau_levenshtein(a: Column | str, b: Column | str) -> Column:

@@ -51,20 +51,21 @@ def get_session(
     return spark
 
 
-def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def ensure_parallel(df: DataFrame, keys: list[str] | None = None, min_partitions: int | None = None) -> DataFrame:
     """Spread a scan that yields fewer partitions than the cluster has cores.
 
     A single large Parquet row group (or one unsplittable file) is read by one
     task, and everything fused into that stage (joins with a broadcast side,
     projections, partial aggregation) then runs single-threaded. Below the
-    target, hash-repartition on all (already selected) columns: deterministic,
-    no local sort. At scale the input has far more splits than cores and this
+    target, hash-repartition on ``keys`` (default: every column), deterministic
+    and without a local sort; give a few well-spread keys so that columns the
+    query does not need can still be pruned from the scan. At scale the input has far more splits than cores and this
     is a no-op (only the planned split count is inspected; no job runs).
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, *df.columns)
+    return df.repartition(target, *(keys or df.columns))
 
 
 def shared_dir(spark: SparkSession) -> str:
