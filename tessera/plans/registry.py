@@ -281,3 +281,4 @@ from tessera.plans import export_import as _export_import  # noqa: E402
 
 QUERIES.update(_export_import.QUERIES)
 ORACLES.update(_export_import.ORACLES)
+ORACLES["import_then_reduce"] = ORACLES["reduced_table"]
