@@ -1,5 +1,20 @@
 """Edit-distance search: one query at a time (sweep) or many at once (join).
 
+Two exact candidate generators feed the join, chosen by target length so that
+every pair is generated by exactly one of them:
+
+* short targets (length <= L0): deletion neighbourhoods, below;
+* long targets: partition signatures (pigeonhole, after PassJoin, Li et al.,
+  VLDB 2011). DL(a, b) <= k implies Levenshtein <= 2k and a length difference
+  <= k; cut the target into 2k + 1 segments and at most 2k of them are touched
+  by the edits, so one segment appears verbatim in the query, shifted by at
+  most 2k positions. A target emits its 2k + 1 segments; a query emits, for
+  every compatible length and segment, the substrings at the 4k + 1 possible
+  shifts: a bounded number of signatures however long the strings are.
+
+L0 is where a deletion neighbourhood becomes larger than a query's signature
+set, so neither side ever expands by more than that bound.
+
 ``fuzzy_sweep`` is a scan + filter: JVM-side length and thresholded Levenshtein
 prefilters, then the exact Damerau-Levenshtein kernel on the survivors only.
 
@@ -16,6 +31,8 @@ through the exact kernel.
 
 from __future__ import annotations
 
+from math import comb
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +65,65 @@ def deletion_variants(col: str, k: int) -> Column:
     return F.expr(f"array_distinct(concat({', '.join(levels)}))")
 
 
+def deletion_count(length: int, k: int) -> int:
+    """Variants of a string of ``length`` distinct characters within ``k`` deletions."""
+    return sum(comb(length, m) for m in range(k + 1))
+
+
+def partition_signature_count(k: int) -> int:
+    """Signatures a query emits in the partition scheme (lengths x segments x shifts)."""
+    tau = 2 * k
+    return (2 * k + 1) * (tau + 1) * (2 * tau + 1)
+
+
+def switch_length(k: int) -> int:
+    """Longest target handled by deletion neighbourhoods (at least 2k, so long targets
+    always have non-empty segments)."""
+    limit = partition_signature_count(k)
+    length = 2 * k
+    while deletion_count(length + 1, k) <= limit:
+        length += 1
+    return length
+
+
+def _segment_sql(n: str, i: str, tau: int) -> tuple[str, str]:
+    # start (0-based) and length of segment i when a string of length n is cut
+    # into tau + 1 parts, the shorter parts first
+    parts = tau + 1
+    base = f"div({n}, {parts})"
+    n_short = f"({parts} - pmod({n}, {parts}))"
+    start = f"({i} * {base} + greatest(0, {i} - {n_short}))"
+    length = f"({base} + CASE WHEN {i} >= {n_short} THEN 1 ELSE 0 END)"
+    return start, length
+
+
+def target_segments(col: str, k: int) -> Column:
+    """Signature keys of a (long) target: one per segment, keyed by length and segment index."""
+    tau = 2 * k
+    n = f"char_length(`{col}`)"
+    start, length = _segment_sql(n, "i", tau)
+    return F.expr(
+        f"transform(sequence(0, {tau}), i -> xxhash64({n}, i, substr(`{col}`, {start} + 1, {length})))"
+    )
+
+
+def query_signatures(col: str, k: int, min_target_len: int) -> Column:
+    """Signature keys of a query against targets longer than ``min_target_len - 1``."""
+    tau = 2 * k
+    q = f"`{col}`"
+    nq = f"char_length({q})"
+    start, length = _segment_sql("m", "i", tau)
+    inner = (
+        f"transform(sequence(-{tau}, {tau}), d -> named_struct("
+        f"'ok', {start} + d >= 0 AND {start} + d + {length} <= {nq}, "
+        f"'key', xxhash64(m, i, substr({q}, {start} + d + 1, {length}))))"
+    )
+    per_len = f"flatten(transform(sequence(0, {tau}), i -> {inner}))"
+    lengths = f"filter(transform(sequence(-{k}, {k}), e -> {nq} + e), m -> m >= {min_target_len})"
+    all_sigs = f"flatten(transform({lengths}, m -> {per_len}))"
+    return F.expr(f"array_distinct(transform(filter({all_sigs}, x -> x.ok), x -> x.key))")
+
+
 def fuzzy_sweep(df: DataFrame, col: str, query: str, k: int, distance_col: str = "distance") -> DataFrame:
     """Rows whose ``col`` is within Damerau-Levenshtein distance ``k`` of ``query``."""
     q = F.lit(query)
@@ -59,11 +135,21 @@ def fuzzy_sweep(df: DataFrame, col: str, query: str, k: int, distance_col: str =
 
 def fuzzy_pairs(queries: DataFrame, q_col: str, targets: DataFrame, t_col: str, k: int) -> DataFrame:
     """Distinct ``(query, target, distance)`` with ``DL(query, target) <= k``."""
+    l0 = switch_length(k)
     qs = queries.select(F.col(q_col).alias("_q")).where(F.col("_q").isNotNull()).distinct()
     ts = targets.select(F.col(t_col).alias("_t")).where(F.col("_t").isNotNull()).distinct()
-    qv = qs.select("_q", F.explode(deletion_variants("_q", k)).alias("_v")).select("_q", F.xxhash64("_v").alias("_key"))
-    tv = ts.select("_t", F.explode(deletion_variants("_t", k)).alias("_v")).select("_t", F.xxhash64("_v").alias("_key"))
-    cand = qv.join(tv, "_key").select("_q", "_t").distinct()
+    qlen, tlen = F.char_length("_q"), F.char_length("_t")
+    # short targets: shared deletion variant (queries longer than l0 + k cannot reach them)
+    qv = (qs.where(qlen <= l0 + k).select("_q", F.explode(deletion_variants("_q", k)).alias("_v"))
+          .select("_q", F.xxhash64("_v").alias("_key")))
+    tv = (ts.where(tlen <= l0).select("_t", F.explode(deletion_variants("_t", k)).alias("_v"))
+          .select("_t", F.xxhash64("_v").alias("_key")))
+    short = qv.join(tv, "_key").select("_q", "_t")
+    # long targets: a verbatim segment at a bounded shift
+    qp = qs.where(qlen >= l0 + 1 - k).select("_q", F.explode(query_signatures("_q", k, l0 + 1)).alias("_key"))
+    tp = ts.where(tlen > l0).select("_t", F.explode(target_segments("_t", k)).alias("_key"))
+    long = qp.join(tp, "_key").select("_q", "_t")
+    cand = short.unionByName(long).distinct()
     cand = cand.where(within_prefilter(F.col("_q"), F.col("_t"), k))
     scored = cand.withColumn("_d", damerau_levenshtein(F.col("_q"), F.col("_t"))).where(F.col("_d") <= k)
     return scored.select(

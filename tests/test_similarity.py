@@ -71,3 +71,34 @@ def test_fuzzy_sweep(spark):
     t = spark.createDataFrame([("GILGFVFTL",), ("GILGFVFLT",), ("CILGFVFTA",), ("AAAAAAAAA",), (None,)], "s string")
     got = sorted((r.s, r.distance) for r in fuzzy_sweep(t, "s", "GILGFVFTL", 2).collect())
     assert got == [("CILGFVFTA", 2), ("GILGFVFLT", 1), ("GILGFVFTL", 0)]
+
+
+def _mutate(rng, s, n_ops):
+    s = list(s)
+    for _ in range(n_ops):
+        op = rng.choice("sidt")
+        if op == "s" and s:
+            s[rng.randrange(len(s))] = rng.choice("ACGT")
+        elif op == "i":
+            s.insert(rng.randrange(len(s) + 1), rng.choice("ACGT"))
+        elif op == "d" and s:
+            del s[rng.randrange(len(s))]
+        elif op == "t" and len(s) > 1:
+            i = rng.randrange(len(s) - 1)
+            s[i], s[i + 1] = s[i + 1], s[i]
+    return "".join(s)
+
+
+@pytest.mark.parametrize("k", [1, 2])
+def test_fuzzy_pairs_long_strings_match_brute_force(spark, k):
+    """Targets on both sides of the switch length, near copies with every edit kind."""
+    rng = random.Random(100 + k)
+    bases = ["".join(rng.choice("ACGT") for _ in range(rng.randint(14, 60))) for _ in range(40)]
+    ts = bases + [_mutate(rng, b, rng.randint(1, 3)) for b in bases for _ in range(3)]
+    qs = [_mutate(rng, b, rng.randint(0, 3)) for b in bases for _ in range(2)]
+    qdf = spark.createDataFrame([(q,) for q in qs], "q string")
+    tdf = spark.createDataFrame([(t,) for t in ts], "t string")
+    got = {(r.query_sequence, r.sequence, r.distance) for r in fuzzy_pairs(qdf, "q", tdf, "t", k).collect()}
+    want = _brute(qs, ts, k)
+    assert len(want) > 50
+    assert got == want
