@@ -97,13 +97,17 @@ def _segment_sql(n: str, i: str, tau: int) -> tuple[str, str]:
     return start, length
 
 
+def _tagged(strings: Column, tag: int) -> Column:
+    return F.transform(strings, lambda v: F.xxhash64(F.lit(tag), v))
+
+
 def target_segments(col: str, k: int) -> Column:
     """Signature keys of a (long) target: one per segment, keyed by length and segment index."""
     tau = 2 * k
     n = f"char_length(`{col}`)"
     start, length = _segment_sql(n, "i", tau)
     return F.expr(
-        f"transform(sequence(0, {tau}), i -> xxhash64({n}, i, substr(`{col}`, {start} + 1, {length})))"
+        f"transform(sequence(0, {tau}), i -> xxhash64(1, {n}, i, substr(`{col}`, {start} + 1, {length})))"
     )
 
 
@@ -116,7 +120,7 @@ def query_signatures(col: str, k: int, min_target_len: int) -> Column:
     inner = (
         f"transform(sequence(-{tau}, {tau}), d -> named_struct("
         f"'ok', {start} + d >= 0 AND {start} + d + {length} <= {nq}, "
-        f"'key', xxhash64(m, i, substr({q}, {start} + d + 1, {length}))))"
+        f"'key', xxhash64(1, m, i, substr({q}, {start} + d + 1, {length}))))"
     )
     per_len = f"flatten(transform(sequence(0, {tau}), i -> {inner}))"
     lengths = f"filter(transform(sequence(-{k}, {k}), e -> {nq} + e), m -> m >= {min_target_len})"
@@ -139,17 +143,18 @@ def fuzzy_pairs(queries: DataFrame, q_col: str, targets: DataFrame, t_col: str,
     qs = queries.select(F.col(q_col).alias("_q")).where(F.col("_q").isNotNull()).distinct()
     ts = targets.select(F.col(t_col).alias("_t")).where(F.col("_t").isNotNull()).distinct()
     qlen, tlen = F.char_length("_q"), F.char_length("_t")
-    # short targets: shared deletion variant (queries longer than l0 + k cannot reach them)
-    qv = (qs.where(qlen <= l0 + k).select("_q", F.explode(deletion_variants("_q", k)).alias("_v"))
-          .select("_q", F.xxhash64("_v").alias("_key")))
-    tv = (ts.where(tlen <= l0).select("_t", F.explode(deletion_variants("_t", k)).alias("_v"))
-          .select("_t", F.xxhash64("_v").alias("_key")))
-    short = qv.join(tv, "_key").select("_q", "_t")
-    # long targets: a verbatim segment at a bounded shift
-    qp = qs.where(qlen >= l0 + 1 - k).select("_q", F.explode(query_signatures("_q", k, l0 + 1)).alias("_key"))
-    tp = ts.where(tlen > l0).select("_t", F.explode(target_segments("_t", k)).alias("_key"))
-    long = qp.join(tp, "_key").select("_q", "_t")
-    cand = short.unionByName(long).distinct()
+    empty = F.array().cast("array<bigint>")
+    # one key array per string, each key tagged with its scheme, so each side is
+    # expanded once and joined once: short targets by shared deletion variant,
+    # long targets by a verbatim segment at a bounded shift
+    t_keys = F.when(tlen <= l0, _tagged(deletion_variants("_t", k), 0)).otherwise(target_segments("_t", k))
+    q_keys = F.concat(
+        F.when(qlen <= l0 + k, _tagged(deletion_variants("_q", k), 0)).otherwise(empty),
+        F.when(qlen >= l0 + 1 - k, query_signatures("_q", k, l0 + 1)).otherwise(empty),
+    )
+    qk = qs.select("_q", F.explode(q_keys).alias("_key"))
+    tk = ts.select("_t", F.explode(t_keys).alias("_key"))
+    cand = qk.join(tk, "_key").select("_q", "_t").distinct()
     cand = cand.where(within_prefilter(F.col("_q"), F.col("_t"), k))
     scored = cand.withColumn("_d", damerau_levenshtein(F.col("_q"), F.col("_t"))).where(F.col("_d") <= k)
     return scored.select(
