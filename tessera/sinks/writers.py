@@ -51,15 +51,21 @@ def write_reduced_table(reduced: DataFrame, path: str, grain=GRAIN, codec: str =
     return reduced.sparkSession.read.parquet(path)
 
 
-def write_csv_report(df: DataFrame, path: str, sep: str = LIST_SEPARATOR, single_file: bool = True) -> None:
-    """Header + one line per row; list columns joined first.
+def write_csv_report(df: DataFrame, path: str, sep: str = LIST_SEPARATOR, single_file: bool = True,
+                     order_by: list | None = None) -> None:
+    """Header + one line per row; list columns joined first, rows optionally ordered.
 
     ``single_file`` is for small reports (top-k, pinned rows): it coalesces to
-    one task. Large outputs should pass ``single_file=False``.
+    one task. Large outputs should pass ``single_file=False`` (a global
+    ``order_by`` then yields ordered part files).
     """
     out = flatten_lists(df, sep)
     if single_file:
         out = out.coalesce(1)
+        if order_by:
+            out = out.sortWithinPartitions(*order_by)
+    elif order_by:
+        out = out.orderBy(*order_by)
     out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 

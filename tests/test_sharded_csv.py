@@ -137,3 +137,20 @@ def test_write_then_read_roundtrip(spark, tmp_dir):
     back = read_sharded_csv(spark, out, casts={"G - Key": "bigint"})
     assert back.columns == ["g_key", "g_value"]
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_rows_per_shard_with_split_files(spark, tmp_dir):
+    """Files split over many tasks still yield their first rows, in file order."""
+    _write(tmp_dir, "s_00.csv", "G,G\nk,v\n" + "".join(f"{i},x{i}\n" for i in range(400)))
+    _write(tmp_dir, "s_01.csv", "".join(f"{i},y{i}\n" for i in range(1000, 1300)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = read_sharded_csv(spark, tmp_dir, casts={"G - k": "int"}, rows_per_shard=7, multiline=False)
+        assert df.rdd.getNumPartitions() >= 1
+        got = sorted(r.g_k for r in df.collect())
+        assert got == list(range(7)) + list(range(1000, 1007))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
