@@ -154,3 +154,29 @@ def test_rows_per_shard_with_split_files(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("value,target", [(" 12", "int"), ("1.5d", "double"), ("12.0", "int"), ("", "int"),
+                                          ("0x1F", "bigint"), ("1,5", "double")])
+def test_exact_text_rejects_loose_numbers(spark, tmp_dir, value, target):
+    _write(tmp_dir, "e_00.csv", f'A,A\nx,y\n1,"{value}"\n')
+    df = read_sharded_csv(spark, tmp_dir, casts={"A - y": target})
+    with pytest.raises(PySparkException):
+        df.collect()
+
+
+@pytest.mark.parametrize("value,target,expected", [("+12", "int", 12), ("-7", "smallint", -7),
+                                                   ("1e3", "double", 1000.0), (".5", "double", 0.5),
+                                                   ("NaN", "double", None)])
+def test_exact_text_accepts_plain_numbers(spark, tmp_dir, value, target, expected):
+    _write(tmp_dir, "e_00.csv", f"A,A\nx,y\n1,{value}\n")
+    got = read_sharded_csv(spark, tmp_dir, casts={"A - y": target}).first()["a_y"]
+    if expected is None:
+        assert got != got  # NaN
+    else:
+        assert got == expected
+
+
+def test_loose_mode_follows_spark(spark, tmp_dir):
+    _write(tmp_dir, "e_00.csv", 'A,A\nx,y\n1," 12"\n')
+    assert read_sharded_csv(spark, tmp_dir, casts={"A - y": "int"}, exact_text=False).first()["a_y"] == 12
