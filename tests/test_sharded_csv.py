@@ -180,3 +180,14 @@ def test_exact_text_accepts_plain_numbers(spark, tmp_dir, value, target, expecte
 def test_loose_mode_follows_spark(spark, tmp_dir):
     _write(tmp_dir, "e_00.csv", 'A,A\nx,y\n1," 12"\n')
     assert read_sharded_csv(spark, tmp_dir, casts={"A - y": "int"}, exact_text=False).first()["a_y"] == 12
+
+
+def test_overflow_raises_without_ansi(spark, tmp_dir):
+    _write(tmp_dir, "e_00.csv", "A,A\nx,year\n1,40000\n")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = read_sharded_csv(spark, tmp_dir, casts={"A - year": "smallint"})
+        with pytest.raises(PySparkException, match="does not fit"):
+            df.collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
