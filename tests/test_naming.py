@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.functions.naming import check_unique_slugs, slug_expr, slugify
 

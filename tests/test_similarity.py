@@ -5,7 +5,6 @@ from math import comb
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.functions.edit_distance import damerau_levenshtein, dl_distance
 from tessera.operators.similarity import deletion_variants, fuzzy_join, fuzzy_pairs, fuzzy_sweep
