@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -46,8 +47,17 @@ def write_reduced_table(reduced: DataFrame, path: str, grain=GRAIN, codec: str =
     The global sort is a range-partitioned shuffle (sampled boundaries), so the
     output files hold disjoint, sorted key ranges and their row-group statistics
     let an equality lookup skip nearly everything.
+
+    The range partitioner samples its input in a job of its own; without a
+    persisted input that job would run the final aggregation a second time. The
+    aggregated table is persisted (memory, spilling to disk; a lost block is
+    recomputed from lineage) for the duration of the write only.
     """
-    write_parquet(sort_by_grain(reduced, grain), path, codec, level)
+    staged = reduced.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_parquet(sort_by_grain(staged, grain), path, codec, level)
+    finally:
+        staged.unpersist()
     return reduced.sparkSession.read.parquet(path)
 
 
