@@ -62,8 +62,12 @@ def ensure_parallel(df: DataFrame, keys: list[str] | None = None, min_partitions
     query does not need can still be pruned from the scan. At scale the input has far more splits than cores and this
     is a no-op (only the planned split count is inspected; no job runs).
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        planned = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. Spark Connect): leave as is
+        return df
+    if planned >= target:
         return df
     return df.repartition(target, *(keys or df.columns))
 
