@@ -15,8 +15,8 @@ EXPORT_SCHEMA = (
     "reference_pmid int, epitope_modified_residues string, epitope_modifications string"
 )
 LP = "Linear peptide"
-U = "http://www.uniprot.org/uniprot/"
-E = "http://www.iedb.org/epitope/"
+U = "http://ex.org/uniprot/"
+E = "http://ex.org/epitope/"
 
 
 def row(name, eid, allele, start=None, end=None, parent=None, source_iri=None, molecule=None, pmid=None,
