@@ -36,7 +36,7 @@ def reduced(spark):
 def test_describe_table(spark, reduced):
     cat = {r.name: r for r in describe_table(reduced).collect()}
     assert cat["pmids"].dtype == "array<int>" and cat["n_assays"]["index"] == 15
-    assert "parent_iri" in cat["uniprot_id"].source
+    assert "parent_iri" in cat["uniprot_id"].source and cat["n_assays"].dtype == "bigint"
     with pytest.raises(KeyError):
         describe_table(reduced.withColumn("extra", F.lit(1)))
 
