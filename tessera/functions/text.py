@@ -64,3 +64,22 @@ def epitope_id(col: Column | str) -> Column:
 def flag_matches(col: Column | str, pattern: str = SPECIFIC_ALLELE_PATTERN) -> Column:
     """Regex-contains flag; null stays null."""
     return _c(col).rlike(pattern)
+
+
+# Fixed text forms accepted for numeric casts (Spark's own cast would also trim
+# blanks and accept suffixes such as "1.5d"): optional sign and digits for
+# integers; decimal or exponent notation, inf/infinity/nan for doubles.
+INTEGER_TEXT = r"^[+-]?[0-9]+$"
+DOUBLE_TEXT = r"^[+-]?(([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))$"
+_INTEGRAL = {"tinyint", "byte", "smallint", "short", "int", "integer", "bigint", "long"}
+_FRACTIONAL = {"float", "double", "real"}
+
+
+def numeric_text_ok(col: Column | str, target: str) -> Column | None:
+    """Whether the text is written as a plain ``target`` number (null for null input).
+
+    ``None`` when ``target`` is not a numeric type (no text rule applies).
+    """
+    t = target.lower()
+    pattern = INTEGER_TEXT if t in _INTEGRAL else DOUBLE_TEXT if t in _FRACTIONAL else None
+    return None if pattern is None else _c(col).rlike(pattern)

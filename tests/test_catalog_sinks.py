@@ -116,3 +116,10 @@ def test_write_reduced_sorted_and_sql(spark, reduced, tmp_dir):
     assert direct.n == 3
     flat = flatten_lists(back).where("sequence = 'ELAGIGILTV'").first()
     assert flat.pmids == "4" and flat.modifications == "OX"
+
+
+def test_audit_uses_the_strict_text_rule(spark):
+    df = spark.createDataFrame([(" 12",), ("12",), ("1.5d",)], "a string")
+    strict = audit_casts(df, {"a": "int"}).first()
+    loose = audit_casts(df, {"a": "int"}, exact_text=False).first()
+    assert strict.n_unparsable == 2 and loose.n_unparsable == 1
