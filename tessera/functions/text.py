@@ -66,20 +66,38 @@ def flag_matches(col: Column | str, pattern: str = SPECIFIC_ALLELE_PATTERN) -> C
     return _c(col).rlike(pattern)
 
 
-# Fixed text forms accepted for numeric casts (Spark's own cast would also trim
-# blanks and accept suffixes such as "1.5d"): optional sign and digits for
-# integers; decimal or exponent notation, inf/infinity/nan for doubles.
-INTEGER_TEXT = r"^[+-]?[0-9]+$"
-DOUBLE_TEXT = r"^[+-]?(([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))$"
+# Strict numeric text: the forms a strict parse accepts (Spark's own cast would
+# also trim blanks and accept suffixes such as "1.5d" or hex floats).
+# Optional sign and digits for integers; decimal or exponent
+# notation and inf/infinity/nan (any case) for fractional numbers.
+INTEGER_TEXT = r"[+-]?[0-9]+"
+DOUBLE_TEXT = r"[+-]?(?:(?:[0-9]+(?:[.][0-9]*)?|[.][0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))"
 _INTEGRAL = {"tinyint", "byte", "smallint", "short", "int", "integer", "bigint", "long"}
 _FRACTIONAL = {"float", "double", "real"}
+_JOIN = "\u0001"
+
+
+def numeric_family(target: str) -> str | None:
+    t = target.lower()
+    return "integral" if t in _INTEGRAL else "fractional" if t in _FRACTIONAL else None
 
 
 def numeric_text_ok(col: Column | str, target: str) -> Column | None:
-    """Whether the text is written as a plain ``target`` number (null for null input).
+    """Whether one value is written as a plain ``target`` number (null for null input);
+    ``None`` when ``target`` is not numeric."""
+    family = numeric_family(target)
+    if family is None:
+        return None
+    body = INTEGER_TEXT if family == "integral" else DOUBLE_TEXT
+    return _c(col).rlike(f"^{body}$")
 
-    ``None`` when ``target`` is not a numeric type (no text rule applies).
+
+def numeric_texts_ok(cols: list[str], family: str) -> Column:
+    """One check for several columns of one numeric family (nulls are skipped).
+
+    The non-null values are joined with U+0001 and matched by a single pattern,
+    which keeps the generated code small however many columns are cast.
     """
-    t = target.lower()
-    pattern = INTEGER_TEXT if t in _INTEGRAL else DOUBLE_TEXT if t in _FRACTIONAL else None
-    return None if pattern is None else _c(col).rlike(pattern)
+    body = INTEGER_TEXT if family == "integral" else DOUBLE_TEXT
+    joined = F.concat_ws(_JOIN, *[F.col(f"`{c}`") for c in cols])
+    return joined.rlike(f"^(?:{body}(?:{_JOIN}{body})*)?$")

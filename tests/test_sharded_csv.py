@@ -191,3 +191,18 @@ def test_overflow_raises_without_ansi(spark, tmp_dir):
             df.collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+@pytest.mark.parametrize("value,target", [("12 ", "int"), ("\t5", "bigint"), ("2.5f", "double"), ("0x1p3", "double"),
+                                          ("1.5D", "double"), (" ", "double")])
+def test_exact_text_rejects_more_loose_numbers(spark, tmp_dir, value, target):
+    _write(tmp_dir, "e_00.csv", f'A,A\nx,y\n1,"{value}"\n')
+    with pytest.raises(PySparkException):
+        read_sharded_csv(spark, tmp_dir, casts={"A - y": target}).collect()
+
+
+@pytest.mark.parametrize("value,expected", [("inf", float("inf")), ("-Infinity", float("-inf")), ("1.", 1.0),
+                                            ("-2.5E-3", -0.0025)])
+def test_exact_text_accepts_special_doubles(spark, tmp_dir, value, expected):
+    _write(tmp_dir, "e_00.csv", f"A,A\nx,y\n1,{value}\n")
+    assert read_sharded_csv(spark, tmp_dir, casts={"A - y": "double"}).first()["a_y"] == expected
