@@ -26,7 +26,7 @@ _EXPORTS = {
     "tessera.operators.catalog": ["describe_table", "audit_casts"],
     "tessera.sinks.writers": ["write_parquet", "write_reduced_table", "write_csv_report", "write_catalog_json",
                               "flatten_lists"],
-    "tessera.plans.export_import": ["convert_to_parquet"],
+    "tessera.sinks.convert": ["convert_to_parquet"],
     "tessera.streaming.shard_stream": ["stream_shards", "import_arriving_shards"],
 }
 _WHERE = {name: module for module, names in _EXPORTS.items() for name in names}
