@@ -39,30 +39,42 @@ def modal_value(value: Column | str) -> Column:
 
 
 # Order-preserving text key for one integral member: a null flag ("0" present,
-# "1" null, so nulls sort last) then the value with its sign bit flipped as 16
-# upper-case hex digits, so text order equals numeric order.
-_SIGN = -(2 ** 63)
-_MEMBER_WIDTH = 17
-
-
-def _member_key(c: Column) -> Column:
-    flipped = F.lpad(F.hex(c.cast("bigint").bitwiseXOR(F.lit(_SIGN))), 16, "0")
-    return F.when(c.isNull(), F.lit("1" + "0" * 16)).otherwise(F.concat(F.lit("0"), flipped))
-
-
-def _member_value(key: Column, i: int) -> Column:
-    start = i * _MEMBER_WIDTH + 1
-    digits = F.substring(key, start + 1, 16)
-    value = F.conv(digits, 16, -10).cast("bigint").bitwiseXOR(F.lit(_SIGN))
+# "1" null, so nulls sort last) then the value as fixed-width upper-case hex with
+# its sign bit flipped, so text order equals numeric order. 64-bit members take
+# 16 digits; members known to fit 32 bits take 8 (a shorter key is cheaper to
+# build, copy and hash for every row).
+_SIGN64 = -(2 ** 63)
+_OFFSET32 = 2 ** 31
+
+
+def _member_key(c: Column, bits: int = 64) -> Column:
+    if bits == 32:
+        digits = F.lpad(F.hex(c.cast("bigint") + F.lit(_OFFSET32)), 8, "0")
+        null_key = "1" + "0" * 8
+    else:
+        digits = F.lpad(F.hex(c.cast("bigint").bitwiseXOR(F.lit(_SIGN64))), 16, "0")
+        null_key = "1" + "0" * 16
+    return F.when(c.isNull(), F.lit(null_key)).otherwise(F.concat(F.lit("0"), digits))
+
+
+def _member_value(key: Column, i: int, bits: int = 64) -> Column:
+    width = 1 + bits // 4
+    start = i * width + 1
+    digits = F.substring(key, start + 1, bits // 4)
+    if bits == 32:
+        value = F.conv(digits, 16, 10).cast("bigint") - F.lit(_OFFSET32)
+    else:
+        value = F.conv(digits, 16, -10).cast("bigint").bitwiseXOR(F.lit(_SIGN64))
     return F.when(F.substring(key, start, 1) == F.lit("0"), value)
 
 
-def modal_tuple(*cols: str) -> Column:
+def modal_tuple(*cols: str, bits: int = 64) -> Column:
     """Most frequent combination of integral ``cols`` taken together (a struct of bigints).
 
     The combination is counted as a whole, so the members always come from the
     same observations (a start never pairs with another submission's end). Nulls
     are ordinary values here. Ties break on each member ascending, nulls last.
+    Pass ``bits=32`` when every member fits 32 bits (int, smallint, tinyint).
 
     The combination is folded into one order-preserving text key and reduced
     with the scalar ``mode``: a struct-typed ``mode`` key is not safe once the
@@ -70,9 +82,16 @@ def modal_tuple(*cols: str) -> Column:
     in-memory struct keys stop comparing equal), text keys are compared by
     content on every path.
     """
-    key = F.concat(*[_member_key(F.col(c)) for c in cols]) if len(cols) > 1 else _member_key(F.col(cols[0]))
-    modal = F.mode(key, deterministic=True)
-    return F.struct(*[_member_value(modal, i).alias(c) for i, c in enumerate(cols)])
+    if bits not in (32, 64):
+        raise ValueError("bits must be 32 or 64")
+    keys = [_member_key(F.col(c), bits) for c in cols]
+    modal = F.mode(F.concat(*keys) if len(keys) > 1 else keys[0], deterministic=True)
+    return F.struct(*[_member_value(modal, i, bits).alias(c) for i, c in enumerate(cols)])
+
+
+def member_bits(df_dtypes: dict, cols) -> int:
+    """32 when every column is an integer type of at most 32 bits, else 64."""
+    return 32 if all(df_dtypes.get(c) in ("int", "smallint", "tinyint") for c in cols) else 64
 
 
 def tuple_member(modal: Column | str, name: str) -> Column:

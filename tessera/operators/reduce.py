@@ -21,6 +21,7 @@ from tessera.functions.text import accession, clean_sequence, epitope_id, flag_m
 from tessera.operators.aggregates import (
     distinct_sorted_list,
     first_non_null,
+    member_bits,
     modal_tuple,
     modal_value,
     row_count,
@@ -112,7 +113,8 @@ def reduce_to_grain(fields: DataFrame, grain=GRAIN) -> DataFrame:
         first_non_null("mhc_class").alias("mhc_class"),
         modal_value("uniprot_id").alias("uniprot_id"),
         modal_value("source_molecule").alias("source_molecule"),
-        modal_tuple("start_position", "end_position").alias("_pair"),
+        modal_tuple("start_position", "end_position",
+                    bits=member_bits(dict(fields.dtypes), ("start_position", "end_position"))).alias("_pair"),
         distinct_sorted_list("pmid").alias("pmids"),
         distinct_sorted_list("modifications").alias("modifications"),
         distinct_sorted_list("modified_residues").alias("modified_residues"),
@@ -143,7 +145,7 @@ def modal_pair_per_grain(fields: DataFrame, grain=GRAIN, cols=("start_position",
     """The modal combination of ``cols`` per grain, as its own table (null keys -> null pair)."""
     grain = list(grain)
     keyed = keys_present(grain)
-    out = fields.groupBy(*grain).agg(modal_tuple(*cols).alias("_pair"))
+    out = fields.groupBy(*grain).agg(modal_tuple(*cols, bits=member_bits(dict(fields.dtypes), cols)).alias("_pair"))
     types = dict(fields.dtypes)
     return out.select(*grain, *[F.when(keyed, tuple_member("_pair", c)).cast(types[c]).alias(c) for c in cols])
 

@@ -145,3 +145,14 @@ def test_check_expected(spark, export):
     got = {r.sequence: r.found for r in bad.collect()}
     # NLVPMVATV's allele is class-level, so it has no specific row either
     assert got == {"MISSING": False, "NLVPMVATV": False}
+
+
+@pytest.mark.parametrize("bits,dtype", [(32, "int"), (64, "bigint")])
+def test_modal_tuple_extremes(spark, bits, dtype):
+    lo, hi = (-(2 ** 31), 2 ** 31 - 1) if bits == 32 else (-(2 ** 63), 2 ** 63 - 1)
+    rows = [(1, lo, hi), (1, lo, hi), (1, 0, None), (2, -5, 3), (2, 7, -1), (3, None, None), (3, hi, lo)]
+    df = spark.createDataFrame(rows, f"g int, a {dtype}, b {dtype}")
+    got = {r.g: (r.a, r.b) for r in df.groupBy("g").agg(modal_tuple("a", "b", bits=bits).alias("m"))
+           .select("g", "m.a", "m.b").collect()}
+    # group 2 ties -> lowest first member; group 3 ties -> non-null before null
+    assert got == {1: (lo, hi), 2: (-5, 3), 3: (hi, lo)}
