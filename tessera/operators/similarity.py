@@ -15,18 +15,18 @@ every pair is generated by exactly one of them:
 L0 is where a deletion neighbourhood becomes larger than a query's signature
 set, so neither side ever expands by more than that bound.
 
-``fuzzy_sweep`` is a scan + filter: JVM-side length and thresholded Levenshtein
-prefilters, then the exact Damerau-Levenshtein kernel on the survivors only.
-
-``fuzzy_join`` is an equi-join on deletion variants (deletion neighbourhoods):
-if ``DL(a, b) <= k`` then deleting at most ``k`` characters from each side
-reaches a common string (a substitution is a deletion on both sides; an adjacent
-transposition is one deletion on each side). So every matching pair meets on a
-shared variant, and the search becomes an ordinary hash-partitioned join: no
-cross join, no broadcast of a side that grows with the data. Strings are
-de-duplicated before variants are generated, so a hot value is expanded once.
-The shared-variant condition is necessary, not sufficient; candidates go
-through the exact kernel.
+Deletion neighbourhoods: if ``DL(a, b) <= k`` then deleting at most ``k``
+characters from each side reaches a common string (a substitution is a deletion
+on both sides; an adjacent transposition is one deletion on each side).
+
+Either way every matching pair meets on a shared hashed key, and the search is
+an ordinary hash-partitioned equi-join: no cross join, no broadcast of a side
+that grows with the data. Strings are de-duplicated before expansion, so a hot
+value is expanded once. A shared key is necessary, not sufficient; candidates
+go through the JVM prefilters and then the exact kernel.
+
+``fuzzy_sweep`` is a scan + filter: the same prefilters, then the kernel on the
+survivors only.
 """
 
 from __future__ import annotations
@@ -56,13 +56,13 @@ def deletion_variants(col: str, k: int) -> Column:
     """
     if k < 0:
         raise ValueError("k must be >= 0")
-    levels = [f"array(`{col}`)"]
-    prev = levels[0]
+    # level m: every string of level m - 1 plus its one-deletion variants; each
+    # level refers to the previous one once, so nothing is evaluated twice
+    level = f"array(`{col}`)"
     for m in range(1, k + 1):
         v, i = f"v{m}", f"i{m}"
-        prev = f"array_distinct(flatten(transform({prev}, {v} -> {_one_deletion_sql(v, i)})))"
-        levels.append(prev)
-    return F.expr(f"array_distinct(concat({', '.join(levels)}))")
+        level = f"array_distinct(flatten(transform({level}, {v} -> concat(array({v}), {_one_deletion_sql(v, i)}))))"
+    return F.expr(level)
 
 
 def deletion_count(length: int, k: int) -> int:
