@@ -206,3 +206,11 @@ def test_exact_text_rejects_more_loose_numbers(spark, tmp_dir, value, target):
 def test_exact_text_accepts_special_doubles(spark, tmp_dir, value, expected):
     _write(tmp_dir, "e_00.csv", f"A,A\nx,y\n1,{value}\n")
     assert read_sharded_csv(spark, tmp_dir, casts={"A - y": "double"}).first()["a_y"] == expected
+
+
+def test_byte_order_mark_in_header_shard(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "e_00.csv"), "wb") as f:
+        f.write(b"\xef\xbb\xbfRef,Ref\nIRI,Date\nr1,2020\n")
+    df = read_sharded_csv(spark, tmp_dir, casts={"Ref - Date": "smallint"})
+    assert df.columns == ["ref_iri", "ref_date"]
+    assert [tuple(r) for r in df.collect()] == [("r1", 2020)]
