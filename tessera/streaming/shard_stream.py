@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.session import scratch_path
+from tessera.sinks.writers import DEFAULT_CODEC, DEFAULT_LEVEL
 from tessera.sources.sharded_csv import (
     HEADER_ROWS,
     NAME_SEP,
@@ -38,6 +39,7 @@ def stream_shards(
     multiline: bool = True,
     max_files_per_trigger: int | None = None,
     sep: str = NAME_SEP,
+    exact_text: bool = True,
 ) -> DataFrame:
     """A streaming DataFrame over the shards of ``path`` (the header shard must already exist)."""
     shards = list_shards(spark, path)
@@ -60,7 +62,7 @@ def stream_shards(
     raw = reader.csv(path)
     out = name_columns(drop_header_and_check(raw, shards[0].rsplit("/", 1)[-1], header_rows), names)
     if casts:
-        out = strict_cast(out, casts)
+        out = strict_cast(out, casts, exact_text)
     return slug_columns(out) if slugs else out
 
 
@@ -72,6 +74,8 @@ def import_arriving_shards(
     checkpoint: str | None = None,
     max_files_per_trigger: int | None = None,
     multiline: bool = True,
+    codec: str = DEFAULT_CODEC,
+    level: int | None = DEFAULT_LEVEL,
 ) -> StreamingQuery:
     """Append every not-yet-imported shard to the Parquet table at ``out``; returns the query.
 
@@ -79,11 +83,13 @@ def import_arriving_shards(
     """
     stream = stream_shards(spark, path, casts, multiline=multiline, max_files_per_trigger=max_files_per_trigger)
     ck = checkpoint or scratch_path(spark, "shard-stream-checkpoint")
-    return (
+    writer = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", ck)
-        .option("compression", "zstd")
+        .option("compression", codec)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start(out)
     )
+    if codec == "zstd" and level is not None:
+        writer = writer.option("parquet.compression.codec.zstd.level", str(level))
+    return writer.start(out)
