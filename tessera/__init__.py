@@ -12,7 +12,8 @@ _EXPORTS = {
     "tessera.functions.text": ["clean_sequence", "extract_or_null", "accession", "epitope_id", "flag_matches"],
     "tessera.functions.edit_distance": ["damerau_levenshtein", "dl_distance", "within_prefilter"],
     "tessera.sources.sharded_csv": ["list_shards", "read_header", "read_header_rows", "read_sharded_csv",
-                                    "strict_cast", "slug_columns", "describe_source", "write_sharded_csv"],
+                                    "strict_cast", "slug_columns", "describe_source", "write_sharded_csv",
+                                    "scan_shard"],
     "tessera.sources.parquet": ["scan_parquet", "sql_over_files"],
     "tessera.operators.aggregates": ["first_non_null", "modal_value", "modal_tuple", "distinct_sorted_list",
                                      "distinct_count_with_nulls", "row_count"],

@@ -214,3 +214,18 @@ def test_byte_order_mark_in_header_shard(spark, tmp_dir):
     df = read_sharded_csv(spark, tmp_dir, casts={"Ref - Date": "smallint"})
     assert df.columns == ["ref_iri", "ref_date"]
     assert [tuple(r) for r in df.collect()] == [("r1", 2020)]
+
+
+def test_scan_one_shard(spark, shards):
+    from tessera.sources.sharded_csv import read_header_rows, scan_shard
+
+    header_path = os.path.join(shards, "export_00.csv")
+    hdr = read_header_rows(spark, header_path)
+    names = read_header(spark, header_path)
+    first = scan_shard(spark, header_path, names, header_rows=hdr)
+    assert first.columns == names
+    assert sorted(r[0] for r in first.collect()) == ["r1", "r2"]
+    capped = scan_shard(spark, header_path, names, header_rows=hdr, n_rows=1)
+    assert [r[0] for r in capped.collect()] == ["r1"]
+    other = scan_shard(spark, os.path.join(shards, "export_9.csv"), names)
+    assert [r[3] for r in other.collect()] == ["c,d"]
