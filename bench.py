@@ -16,7 +16,7 @@ for large ones):
 
 The same steps first run once, untimed, on ``BENCH_WARM_DIR`` (default
 sf0.01) to warm the JVM. Each timed step then runs ``BENCH_REPS`` times
-(default 2); ``queries`` holds the best run (warm, as the reference's
+(default 3); ``queries`` holds the best run (warm, as the reference's
 warm-cache timings), ``first_run`` the first.
 
 ``scale_up`` (outside the headline total): the export replicated
@@ -50,12 +50,22 @@ from tessera.plans.export_import import (  # noqa: E402
     export_casts,
     export_groups_fields,
     export_shards_dir,
+    release_written,
 )
 from tessera.sources.sharded_csv import write_sharded_csv  # noqa: E402
-from tessera.session import get_session, scratch_path  # noqa: E402
+from tessera.session import delete_created, get_session, scratch_path  # noqa: E402
 from tessera.sinks.writers import write_reduced_table  # noqa: E402
 
 
+_CREATED: list[str] = []
+
+
+def _scratch(spark, name: str) -> str:
+    path = scratch_path(spark, name)
+    _CREATED.append(path)
+    return path
+
+
 def _noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -78,11 +88,11 @@ def _steps(spark, sf_dir: str, cpus: int, times: dict, first: dict, reps: int):
             times[name] = min(times.get(name, dt), dt)
         return out
 
-    imported = scratch_path(spark, "bench-import")
+    imported = _scratch(spark, "bench-import")
     summary = timed("import", lambda: convert_to_parquet(spark, src, imported, casts).collect()[0])
     table = spark.read.parquet(imported)
 
-    reduced_path = scratch_path(spark, "bench-reduced")
+    reduced_path = _scratch(spark, "bench-reduced")
     timed("reduce", lambda: write_reduced_table(reduce_to_grain(extract_fields(table)), reduced_path))
     reduced = spark.read.parquet(reduced_path)
 
@@ -110,19 +120,19 @@ def _scale_up(spark, sf_dir: str, cpus: int, factor: int) -> dict:
         F.concat(F.col("epitope_name"), F.substring(F.lit(REPLICA_RESIDUES), F.col("_r") % 20 + 1, 1)),
     ).drop("_r")
     groups, fields = export_groups_fields(e.columns)
-    src = scratch_path(spark, "bench-scaleup-src")
+    src = _scratch(spark, "bench-scaleup-src")
     n_shards = max(2 * cpus, 16)
     write_sharded_csv(big, src, "export", n_shards, groups, fields,
                       shard_col=F.pmod(F.xxhash64(*e.columns), F.lit(n_shards)))
 
-    imported_path = scratch_path(spark, "bench-scaleup-import")
+    imported_path = _scratch(spark, "bench-scaleup-import")
     t0 = time.perf_counter()
     summary = convert_to_parquet(spark, src, imported_path, export_casts(e.columns)).collect()[0]
     t_import = time.perf_counter() - t0
 
     table = spark.read.parquet(imported_path)
     t0 = time.perf_counter()
-    reduced = write_reduced_table(reduce_to_grain(extract_fields(table)), scratch_path(spark, "bench-scaleup-red"))
+    reduced = write_reduced_table(reduce_to_grain(extract_fields(table)), _scratch(spark, "bench-scaleup-red"))
     t_reduce = time.perf_counter() - t0
     rows = int(summary["rows"])
     return {
@@ -155,7 +165,7 @@ def main() -> None:
 
     times: dict[str, float] = {}
     first: dict[str, float] = {}
-    reps = max(1, int(os.environ.get("BENCH_REPS", "2")))
+    reps = max(1, int(os.environ.get("BENCH_REPS", "3")))
     summary, reduced, n_export = _steps(spark, sf_dir, cpus, times, first, reps)
 
     n_reduced = reduced.count()
@@ -179,6 +189,10 @@ def main() -> None:
         "scale_up": scale_up,
     }
     print(json.dumps(out))
+    # remove the intermediate tables and shard sets this run wrote
+    for path in _CREATED:
+        delete_created(spark, path)
+    release_written(spark)
     spark.stop()
 
 

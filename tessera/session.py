@@ -96,6 +96,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tessera-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def delete_created(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table this library created under the scratch root.
+
+    Refuses any path outside ``<spark.checkpoint.dir>/tessera-scratch/``, so it
+    can only ever remove the library's own uniquely named outputs.
+    """
+    root = shared_dir(spark).rstrip("/") + "/tessera-scratch/"
+    if not path.startswith(root) or len(path) <= len(root):
+        raise ValueError(f"not a scratch path of this library: {path}")
+    fs, jpath = hadoop_fs(spark, path)
+    fs.delete(jpath, True)
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     """The Hadoop FileSystem that owns ``path`` (driver-side metadata calls only)."""
     jvm = spark.sparkContext._jvm

@@ -123,3 +123,15 @@ def test_audit_uses_the_strict_text_rule(spark):
     strict = audit_casts(df, {"a": "int"}).first()
     loose = audit_casts(df, {"a": "int"}, exact_text=False).first()
     assert strict.n_unparsable == 2 and loose.n_unparsable == 1
+
+
+def test_delete_created_only_touches_scratch(spark):
+    from tessera.session import delete_created, path_exists, scratch_path
+
+    path = scratch_path(spark, "t-delete")
+    spark.range(3).write.parquet(path)
+    assert path_exists(spark, path)
+    delete_created(spark, path)
+    assert not path_exists(spark, path)
+    with pytest.raises(ValueError):
+        delete_created(spark, "/tmp")
