@@ -57,8 +57,11 @@ def accession(cols: list[Column | str], pattern: str = UNIPROT_PATTERN) -> Colum
 
 
 def epitope_id(col: Column | str) -> Column:
-    """Numeric id at the end of an epitope IRI, strictly cast to int (overflow raises)."""
-    return extract_or_null(col, EPITOPE_ID_PATTERN).cast("int")
+    """Numeric id from an epitope IRI as int; an id that overflows int raises
+    (whatever the session's ANSI setting)."""
+    digits = extract_or_null(col, EPITOPE_ID_PATTERN)
+    overflow = F.when(digits.isNotNull(), F.raise_error(F.concat(F.lit("epitope id does not fit int: "), digits)))
+    return F.coalesce(digits.try_cast("int"), overflow.cast("int"))
 
 
 def flag_matches(col: Column | str, pattern: str = SPECIFIC_ALLELE_PATTERN) -> Column:

@@ -156,3 +156,11 @@ def test_modal_tuple_extremes(spark, bits, dtype):
            .select("g", "m.a", "m.b").collect()}
     # group 2 ties -> lowest first member; group 3 ties -> non-null before null
     assert got == {1: (lo, hi), 2: (-5, 3), 3: (hi, lo)}
+
+
+def test_epitope_id_overflow_raises(spark):
+    from pyspark.errors import PySparkException
+
+    df = spark.createDataFrame([("x/epitope/99999999999",)], "iri string")
+    with pytest.raises(PySparkException, match="does not fit"):
+        df.select(epitope_id("iri")).collect()
