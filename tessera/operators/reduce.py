@@ -97,6 +97,13 @@ def extract_fields(
     )
 
 
+def _narrow(value: Column, target: str, what: str) -> Column:
+    """Cast to a narrower integer type; a value that does not fit raises (ANSI or not)."""
+    overflow = F.when(value.isNotNull(), F.raise_error(F.concat(F.lit(f"{what} does not fit {target}: "),
+                                                                 value.cast("string"))))
+    return F.coalesce(value.try_cast(target), overflow.cast(target))
+
+
 def keys_present(keys) -> Column:
     """True when no key column is null (an equi-join would match the row)."""
     return _fold(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -123,7 +130,7 @@ def reduce_to_grain(fields: DataFrame, grain=GRAIN) -> DataFrame:
     keyed = keys_present(grain)
     return aggregated.select(
         F.col("sequence"),
-        F.char_length("sequence").cast("smallint").alias("peptide_length"),
+        _narrow(F.char_length("sequence"), "smallint", "peptide length").alias("peptide_length"),
         F.col("iedb_epitope_id"),
         F.col("mhc_allele"),
         F.col("mhc_class"),
