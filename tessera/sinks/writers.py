@@ -79,6 +79,13 @@ def write_csv_report(df: DataFrame, path: str, sep: str = LIST_SEPARATOR, single
     out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def write_catalog_json(catalog: DataFrame, path: str) -> None:
-    """A column catalog (small by construction: one row per column) as JSON lines."""
-    catalog.coalesce(1).write.mode("overwrite").json(path)
+def write_catalog_json(catalog: DataFrame, path: str, document: bool = False) -> None:
+    """A column catalog (small by construction: one row per column) as JSON.
+
+    ``document=True`` writes one object ``{"column_count": n, "columns": [...]}``
+    with the columns in index order; otherwise one JSON line per column.
+    """
+    from tessera.operators.catalog import catalog_document
+
+    out = catalog_document(catalog) if document else catalog
+    out.coalesce(1).write.mode("overwrite").json(path)

@@ -135,3 +135,12 @@ def test_delete_created_only_touches_scratch(spark):
     assert not path_exists(spark, path)
     with pytest.raises(ValueError):
         delete_created(spark, "/tmp")
+
+
+def test_catalog_document(spark, reduced, tmp_dir):
+    out = os.path.join(tmp_dir, "doc")
+    write_catalog_json(describe_table(reduced), out, document=True)
+    docs = [json.loads(x) for p in glob.glob(out + "/*.json") for x in open(p)]
+    assert len(docs) == 1 and docs[0]["column_count"] == 16
+    assert [c["index"] for c in docs[0]["columns"]] == list(range(16))
+    assert docs[0]["columns"][0]["name"] == "sequence"
