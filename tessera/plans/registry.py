@@ -132,6 +132,16 @@ def q_exact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_lists(exact_lookup(reduced_table(spark, sf_dir), "sequence", SWEEP_QUERY))
 
 
+def q_sorted_table_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the reduced table written range-sorted by grain (zstd-9) under the shared
+    # scratch folder, then an equality lookup that prunes on row-group statistics
+    from tessera.session import scratch_path
+    from tessera.sinks.writers import write_reduced_table
+
+    written = write_reduced_table(reduced_table(spark, sf_dir), scratch_path(spark, "reduced-table"))
+    return flatten_lists(exact_lookup(written, "sequence", SWEEP_QUERY))
+
+
 def q_fuzzy_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = reduced_table(spark, sf_dir).where(F.col("peptide_length") == SWEEP_LENGTH)
     hits = fuzzy_sweep(r, "sequence", SWEEP_QUERY, MAX_DISTANCE)
@@ -174,6 +184,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_per_key": q_best_per_key,
     "known_rows": q_known_rows,
     "exact_lookup": q_exact_lookup,
+    "sorted_table_lookup": q_sorted_table_lookup,
     "fuzzy_sweep": q_fuzzy_sweep,
     "fuzzy_join": q_fuzzy_join,
     "quality_checks": q_quality_checks,
@@ -248,6 +259,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY sequence ORDER BY {BEST_ORDER_SQ
 WHERE rk = 1"""
     ),
     "exact_lookup": with_reduced(REDUCED_FLAT_SELECT + f"\nWHERE sequence = '{SWEEP_QUERY}'"),
+    "sorted_table_lookup": with_reduced(REDUCED_FLAT_SELECT + f"\nWHERE sequence = '{SWEEP_QUERY}'"),
     "fuzzy_sweep": with_reduced(
         f"""SELECT sequence, mhc_allele, uniprot_id, source_molecule,
        damerau_levenshtein(sequence, '{SWEEP_QUERY}')::int AS distance
