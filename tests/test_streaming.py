@@ -30,3 +30,30 @@ def test_incremental_import_exactly_once(spark, tmp_dir):
     assert sorted(r.ref_iri for r in rows) == ["a", "b", "c", "d"]
     assert {r.ref_iri: r.ref_date for r in rows}["d"] == 2023
     assert {r.ref_iri: r.assay_value for r in rows}["a"] == "1,5"
+
+
+def test_stream_rejects_rows_with_extra_fields(spark, tmp_dir):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    _write(src, "x_00.csv", HEADER + "a,2020,1\n")
+    _write(src, "x_01.csv", "b,2021,2,extra\n")
+    q = import_arriving_shards(spark, src, os.path.join(tmp_dir, "out"), {"Ref - Date": "smallint"},
+                               checkpoint=os.path.join(tmp_dir, "ck"))
+    with pytest.raises(StreamingQueryException, match="more fields"):
+        q.awaitTermination()
+
+
+def test_stream_applies_the_strict_text_rule(spark, tmp_dir):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    _write(src, "x_00.csv", HEADER + 'a," 2020",1\n')
+    q = import_arriving_shards(spark, src, os.path.join(tmp_dir, "out"), {"Ref - Date": "smallint"},
+                               checkpoint=os.path.join(tmp_dir, "ck"))
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination()
