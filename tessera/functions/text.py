@@ -77,7 +77,6 @@ INTEGER_TEXT = r"[+-]?[0-9]+"
 DOUBLE_TEXT = r"[+-]?(?:(?:[0-9]+(?:[.][0-9]*)?|[.][0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))"
 _INTEGRAL = {"tinyint", "byte", "smallint", "short", "int", "integer", "bigint", "long"}
 _FRACTIONAL = {"float", "double", "real"}
-_JOIN = "\u0001"
 
 
 def numeric_family(target: str) -> str | None:
@@ -86,21 +85,22 @@ def numeric_family(target: str) -> str | None:
 
 
 def numeric_text_ok(col: Column | str, target: str) -> Column | None:
-    """Whether one value is written as a plain ``target`` number (null for null input);
-    ``None`` when ``target`` is not numeric."""
+    """Text guard for a strict numeric cast, to be combined with ``try_cast``
+    (null for null input; ``None`` when ``target`` is not numeric).
+
+    Integers: ``try_cast`` accepts ``[+-]?[0-9]+`` and tolerates only padding
+    it trims (code points up to U+0020 and U+007F), so with a successful parse
+    the text is plain exactly when it starts with a sign or digit and ends with
+    a digit: two character tests, no regex. Fractional numbers: the full
+    pattern, since Java's parser accepts more forms (suffixes, hex floats).
+    """
     family = numeric_family(target)
     if family is None:
         return None
-    body = INTEGER_TEXT if family == "integral" else DOUBLE_TEXT
-    return _c(col).rlike(f"^{body}$")
-
-
-def numeric_texts_ok(cols: list[str], family: str) -> Column:
-    """One check for several columns of one numeric family (nulls are skipped).
-
-    The non-null values are joined with U+0001 and matched by a single pattern,
-    which keeps the generated code small however many columns are cast.
-    """
-    body = INTEGER_TEXT if family == "integral" else DOUBLE_TEXT
-    joined = F.concat_ws(_JOIN, *[F.col(f"`{c}`") for c in cols])
-    return joined.rlike(f"^(?:{body}(?:{_JOIN}{body})*)?$")
+    c = _c(col)
+    if family == "integral":
+        first = F.ascii(c)
+        last = F.ascii(F.substring(c, -1, 1))
+        starts = ((first >= 48) & (first <= 57)) | (first == 43) | (first == 45)
+        return starts & (last >= 48) & (last <= 57)
+    return c.rlike(f"^{DOUBLE_TEXT}$")

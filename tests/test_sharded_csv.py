@@ -229,3 +229,11 @@ def test_scan_one_shard(spark, shards):
     assert [r[0] for r in capped.collect()] == ["r1"]
     other = scan_shard(spark, os.path.join(shards, "export_9.csv"), names)
     assert [r[3] for r in other.collect()] == ["c,d"]
+
+
+def test_selection_prunes_the_csv_scan(spark, shards):
+    df = read_sharded_csv(spark, shards, casts={"Reference - Date": "smallint"}).select("epitope_name")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # the non-header shards parse only the selected column and the extra-field sentinel
+    assert "ReadSchema: struct<_c3:string,__extra_field:string>" in plan
+    assert sorted(r[0] for r in df.collect()) == ["a \"q\" b", "c,d", "plain", "x\ny"]
