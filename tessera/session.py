@@ -63,6 +63,10 @@ def ensure_parallel(df: DataFrame, keys: list[str] | None = None, min_partitions
     is a no-op (only the planned split count is inspected; no job runs).
     """
     try:
+        # meant for scans: with an exchange in the plan, asking for the partition
+        # count would make adaptive execution run those stages eagerly
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         planned = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. Spark Connect): leave as is

@@ -68,3 +68,13 @@ def test_distance_kernel_runs_once(spark):
     plan = _plan(entry_mod.queries()["fuzzy_join"](spark, SF))
     assert plan.count("ArrowEvalPython") == 1
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_ensure_parallel_spreads_scans_only(spark):
+    from tessera.session import ensure_parallel
+
+    scan = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_partkey")
+    spread = ensure_parallel(scan, ["l_orderkey"], min_partitions=4)
+    assert spread.rdd.getNumPartitions() == 4
+    grouped = scan.groupBy("l_orderkey").count()
+    assert ensure_parallel(grouped, min_partitions=64) is grouped
