@@ -78,7 +78,11 @@ def partition_signature_count(k: int) -> int:
 
 def switch_length(k: int) -> int:
     """Longest target handled by deletion neighbourhoods (at least 2k, so long targets
-    always have non-empty segments)."""
+    always have non-empty segments). For k = 0 (equality) every target uses them."""
+    if k < 0:
+        raise ValueError("k must be >= 0")
+    if k == 0:
+        return 1 << 30
     limit = partition_signature_count(k)
     length = 2 * k
     while deletion_count(length + 1, k) <= limit:

@@ -101,3 +101,12 @@ def test_fuzzy_pairs_long_strings_match_brute_force(spark, k):
     want = _brute(qs, ts, k)
     assert len(want) > 50
     assert got == want
+
+
+def test_distance_zero_is_equality_and_negative_rejected(spark):
+    t = spark.createDataFrame([("ABC",), ("ABD",), ("A" * 60,)], "t string")
+    q = spark.createDataFrame([("ABC",), ("A" * 60,)], "q string")
+    got = {(r.query_sequence, r.sequence, r.distance) for r in fuzzy_pairs(q, "q", t, "t", 0).collect()}
+    assert got == {("ABC", "ABC", 0), ("A" * 60, "A" * 60, 0)}
+    with pytest.raises(ValueError):
+        fuzzy_pairs(q, "q", t, "t", -1)
