@@ -71,3 +71,21 @@ def rank_within(df: DataFrame, key: str, parts: DataFrame, order: list[str], nam
     within = F.row_number().over(W.partitionBy(key, "__part").orderBy(*order)) - 1
     return salted.withColumn("__within", within).join(before, [key, "__part"]).withColumn(
         name, F.col("__before") + F.col("__within")).drop("__part", "__within", "__before")
+
+
+def in_text_groups(batches: Iterator[pa.RecordBatch], most: int = 16_000_000) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) of consecutive rows, together about ``most`` code points or one longer text."""
+    ids: list = []
+    texts: list[str] = []
+    size = 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+            text = text.as_py() or ""
+            if texts and size + len(text) > most:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+            ids.append(doc_id.as_py())
+            texts.append(text)
+            size += len(text)
+    if texts:
+        yield ids, texts

@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.byte_bpe import bpe_round_trip
 from tessera.llm.common import read_table
 from tessera.llm.exact_dedup import exact_dedup
+from tessera.llm.jaccard_join import similar_documents
+from tessera.llm.license_scan import scan_licenses
 from tessera.llm.packing import pack_documents
+from tessera.llm.pii import find_personal_data
+from tessera.llm.quality_classifier import classify_quality
+from tessera.llm.quality_rules import quality_rules
 from tessera.llm.sharding import shard_documents
 from tessera.llm.token_counts import token_counts
 
@@ -23,6 +28,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read_table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"))
 
@@ -31,17 +44,34 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(read_table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(read_table(spark, sf_dir, "documents"),
                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_quality_rules": op4_quality_rules,
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op8_license_scan": op8_license_scan,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_pii": op10_pii,
 }
 
 ORACLES: dict[str, str] = {
