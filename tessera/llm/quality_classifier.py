@@ -164,5 +164,8 @@ def classify_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
 def keep_good_documents(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """``docs`` without the rows whose text scores below 0.5, all columns as they came."""
     model = train_quality(docs, labels, rows)
-    scored = text_features(docs.select(F.struct("*").alias("__row"), "text"), "__row")
-    return scored.where(model.score() >= 0.5).select("__row.*")
+    # the numbered row keeps the filter above the statistics; pushed below them, it would hold a
+    # copy of a statistic for every condition of every rule
+    rows = docs.select(F.struct("*").alias("__row"), "text")
+    scored = text_features(rows, "__row").withColumn("__n", F.monotonically_increasing_id())
+    return scored.where((model.score() >= 0.5) & (F.col("__n") >= 0)).select("__row.*")
