@@ -7,26 +7,20 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the naming rule (must match the export's documented slugs):
-# the percent sign is spelled out, every run of characters outside [0-9a-zA-Z]
-# becomes one underscore, underscores are trimmed from both ends, and the result
-# is lower-cased.
+# What a percent sign becomes, and the characters a slug may hold.
 PERCENT_WORD = "percent"
-NON_ALNUM_RUN = r"[^0-9a-zA-Z]+"
+SLUG_WORD = "[0-9a-zA-Z]+"
 
 
 def slugify(name: str) -> str:
-    """Slug for one name, e.g. ``Assay - Response Frequency (%)`` -> ``assay_response_frequency_percent``."""
-    spelled = name.replace("%", PERCENT_WORD)
-    return re.sub(NON_ALNUM_RUN, "_", spelled).strip("_").lower()
+    """The words of ``name`` in lower case, joined by underscores; a percent sign is spelled out."""
+    return "_".join(re.findall(SLUG_WORD, name.replace("%", PERCENT_WORD))).lower()
 
 
 def slug_expr(col: Column | str) -> Column:
     """The same rule as :func:`slugify`, as a JVM-side expression over a string column."""
-    c = F.col(col) if isinstance(col, str) else col
-    spelled = F.replace(c, F.lit("%"), F.lit(PERCENT_WORD))
-    underscored = F.regexp_replace(spelled, NON_ALNUM_RUN, "_")
-    return F.lower(F.btrim(underscored, F.lit("_")))
+    spelled = F.replace(F.col(col) if isinstance(col, str) else col, F.lit("%"), F.lit(PERCENT_WORD))
+    return F.lower(F.array_join(F.regexp_extract_all(spelled, F.lit(SLUG_WORD), F.lit(0)), "_"))
 
 
 def compose_name(group: str | None, field: str | None, sep: str = " - ") -> str:
@@ -35,12 +29,12 @@ def compose_name(group: str | None, field: str | None, sep: str = " - ") -> str:
 
 
 def check_unique_slugs(names: list[str]) -> list[str]:
-    """Slugs for ``names``; raises ``ValueError`` naming every slug that collides."""
-    slugs = [slugify(n) for n in names]
-    seen: dict[str, int] = {}
-    for s in slugs:
-        seen[s] = seen.get(s, 0) + 1
-    dupes = sorted(s for s, n in seen.items() if n > 1)
-    if dupes:
-        raise ValueError(f"column names are not unique once slugged: {dupes}")
-    return slugs
+    """Slugs for ``names``; raises ``ValueError`` with the names that share one."""
+    sharing: dict[str, list[str]] = {}
+    for name in names:
+        sharing.setdefault(slugify(name), []).append(name)
+    clashes = {slug: group for slug, group in sharing.items() if len(group) > 1}
+    if clashes:
+        raise ValueError("several columns would get one name: " + "; ".join(
+            f"{slug} from {', '.join(map(repr, group))}" for slug, group in sorted(clashes.items())))
+    return [slugify(name) for name in names]

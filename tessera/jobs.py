@@ -1,7 +1,7 @@
 """Driver entry points for ``spark-submit`` (or ``python -m tessera.jobs``).
 
     spark-submit tessera/jobs.py import --input <shard dir> --parquet <out> [--columns <dir>] \
-        [--casts <json>] [--reduced <out>] [--skip-reduced]
+        [--casts <json>] [--no-multiline] [--reduced <out>] [--skip-reduced]
     spark-submit tessera/jobs.py reduce --parquet <imported> --reduced <out> [--columns <dir>]
 
 Each step prints one JSON summary line. A missing input exits with status 1.
@@ -28,15 +28,15 @@ def _session() -> SparkSession:
     return get_session(app_name="tessera-jobs")
 
 
-def run_import(spark: SparkSession, src: str, parquet: str, casts: dict[str, str],
-               columns: str | None = None) -> dict:
+def run_import(spark: SparkSession, src: str, parquet: str, casts: dict[str, str] | None = None,
+               columns: str | None = None, multiline: bool = True) -> dict:
     from tessera.sinks.convert import convert_to_parquet
     from tessera.sinks.writers import write_catalog_json
     from tessera.sources.sharded_csv import describe_source
 
     if columns:
         write_catalog_json(describe_source(spark, src, casts), columns, document=True)
-    summary = convert_to_parquet(spark, src, parquet, casts).first().asDict()
+    summary = convert_to_parquet(spark, src, parquet, casts, multiline=multiline).first().asDict()
     return {"step": "import", **summary}
 
 
@@ -58,7 +58,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     imp = sub.add_parser("import", help="sharded CSV export -> typed Parquet (then the reduced table)")
     imp.add_argument("--input", required=True)
     imp.add_argument("--parquet", required=True)
-    imp.add_argument("--casts", default="{}", help="JSON map of composed column name -> Spark type")
+    imp.add_argument("--casts", help="JSON map of composed column name -> Spark type; by default the export's own types")
+    imp.add_argument("--multiline", action=argparse.BooleanOptionalAction, default=True,
+                     help="whether quoted fields may hold line breaks; without, large shards are read in splits")
     imp.add_argument("--columns", help="folder for the column catalog document")
     imp.add_argument("--reduced", help="also build the reduced table here")
     imp.add_argument("--reduced-columns", help="folder for the reduced table's catalog document")
@@ -76,12 +78,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if args.command == "import":
             if not path_exists(spark, args.input):
                 raise FileNotFoundError(f"{args.input} not found")
-            print(json.dumps(run_import(spark, args.input, args.parquet, json.loads(args.casts), args.columns)))
+            print(json.dumps(run_import(
+                spark, args.input, args.parquet, json.loads(args.casts) if args.casts else None, args.columns, args.multiline)))
             if args.reduced and not args.skip_reduced:
                 print(json.dumps(run_reduce(spark, args.parquet, args.reduced, args.reduced_columns)))
         else:
             if not path_exists(spark, args.parquet):
-                raise FileNotFoundError(f"{args.parquet} not found, run the import first")
+                raise FileNotFoundError(f"nothing is imported at {args.parquet} yet")
             print(json.dumps(run_reduce(spark, args.parquet, args.reduced, args.columns)))
     except FileNotFoundError as err:
         print(f"error: {err}", file=sys.stderr)

@@ -9,19 +9,14 @@ from pyspark.sql.types import ArrayType
 
 from tessera.operators.reduce import GRAIN, sort_by_grain
 
-# zstd at level 9 is within 1% of brotli-9 on size for this data and quicker to
-# write; brotli needs a codec jar that a stock Spark does not ship.
+# A codec that every Spark has, at a level where writing is still bound by parsing.
 DEFAULT_CODEC = "zstd"
 DEFAULT_LEVEL = 9
 LIST_SEPARATOR = ","
 
 
 def flatten_lists(df: DataFrame, sep: str = LIST_SEPARATOR) -> DataFrame:
-    """Join every array column into one ``sep``-separated string (CSV has no lists).
-
-    Values that already contain ``sep`` are flattened on purpose: one separator
-    throughout, so a consumer splits once.
-    """
+    """Every array column as one string, its values joined by ``sep`` and not escaped."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, ArrayType):
@@ -61,22 +56,24 @@ def write_reduced_table(reduced: DataFrame, path: str, grain=GRAIN, codec: str =
     return reduced.sparkSession.read.parquet(path)
 
 
-def write_csv_report(df: DataFrame, path: str, sep: str = LIST_SEPARATOR, single_file: bool = True,
+def write_csv_report(df: DataFrame, path: str, sep: str = LIST_SEPARATOR, single_file: bool = False,
                      order_by: list | None = None) -> None:
     """Header + one line per row; list columns joined first, rows optionally ordered.
 
-    ``single_file`` is for small reports (top-k, pinned rows): it coalesces to
-    one task. Large outputs should pass ``single_file=False`` (a global
-    ``order_by`` then yields ordered part files).
+    Values are written as they are, padding included. The tasks of the plan write a part file each
+    (with ``order_by``, ordered part files); ``single_file`` is for results of a few rows, which it
+    gathers after the work is done.
     """
     out = flatten_lists(df, sep)
     if single_file:
-        out = out.coalesce(1)
+        # an exchange, and not coalesce: the work before it keeps its tasks
+        out = out.repartition(1)
         if order_by:
             out = out.sortWithinPartitions(*order_by)
     elif order_by:
         out = out.orderBy(*order_by)
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    (out.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_catalog_json(catalog: DataFrame, path: str, document: bool = False) -> None:

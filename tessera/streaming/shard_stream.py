@@ -3,33 +3,48 @@
 New ``<stem>_NN.csv`` files dropped into the export directory are picked up by
 the file source, cleaned exactly as the batch import does (header rows out,
 rows with extra fields raise, strict casts on the composed names, slugs) and
-appended to a Parquet table. The checkpoint (under ``spark.checkpoint.dir``
-unless given) records which files were committed, so a restarted or re-run
-query imports every shard exactly once, and ``availableNow`` processes what is
-there in bounded micro-batches, then stops.
+appended to a Parquet table. The checkpoint, kept inside the output folder unless
+given, records which files were committed, so a restarted or re-run query imports
+every shard exactly once, and ``availableNow`` processes what is there in bounded
+micro-batches, then stops.
+
+A stream mixes files, so header records are recognised by their file and their
+values: a data row of the header shard that equals a header record is left out too.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.session import scratch_path
 from tessera.sinks.writers import DEFAULT_CODEC, DEFAULT_LEVEL
 from tessera.sources.sharded_csv import (
-    HEADER_ROWS,
+    CORRUPT_COL,
     NAME_SEP,
-    NULL_SENTINEL,
+    check_width,
     compose_name,
-    drop_header_and_check,
+    default_casts,
     list_shards,
     name_columns,
+    raw_records,
     read_header_rows,
-    scan_schema,
     slug_columns,
     strict_cast,
 )
 
+#: Inside the output folder; readers skip names that start with an underscore.
+CHECKPOINT = "_import_checkpoint"
+
+
+def _is_header(columns: list[str], header_rows: list[tuple]) -> Column:
+    """A record equal to a header record; a blank header cell may be quoted or not."""
+    return reduce(lambda a, b: a | b, [
+        reduce(lambda a, b: a & b, [F.coalesce(c, F.lit("")) == F.lit(v or "") for c, v in zip(columns, record, strict=True)])
+        for record in header_rows])
+
 
 def stream_shards(
     spark: SparkSession,
@@ -43,24 +58,17 @@ def stream_shards(
 ) -> DataFrame:
     """A streaming DataFrame over the shards of ``path`` (the header shard must already exist)."""
     shards = list_shards(spark, path)
-    header_rows = read_header_rows(spark, shards[0], HEADER_ROWS, multiline)
-    names = [compose_name(g, f, sep) for g, f in zip(header_rows[0], header_rows[1])]
-    reader = spark.readStream.schema(scan_schema(len(names)))
-    # the same dialect as the batch reader
-    reader = (
-        reader.option("header", False)
-        .option("sep", ",")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("nullValue", NULL_SENTINEL)
-        .option("mode", "PERMISSIVE")
-        .option("pathGlobFilter", "*.csv")
-    )
+    header_rows = read_header_rows(spark, shards[0])
+    names = [compose_name(g, f, sep) for g, f in zip(*header_rows, strict=True)]
+    if casts is None:
+        casts = default_casts(names)
+    reader = spark.readStream.option("pathGlobFilter", "*.csv")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(path)
-    out = name_columns(drop_header_and_check(raw, shards[0].rsplit("/", 1)[-1], header_rows), names)
+    raw = raw_records(reader, path, len(names), multiline)
+    columns = [c for c in raw.columns if c != CORRUPT_COL]
+    from_header_file = F.col("_metadata.file_name") == F.lit(shards[0].rsplit("/", 1)[-1])
+    out = name_columns(check_width(raw.where(~(from_header_file & _is_header(columns, header_rows)))), names)
     if casts:
         out = strict_cast(out, casts, exact_text)
     return slug_columns(out) if slugs else out
@@ -79,10 +87,11 @@ def import_arriving_shards(
 ) -> StreamingQuery:
     """Append every not-yet-imported shard to the Parquet table at ``out``; returns the query.
 
+    Without ``checkpoint`` the progress is kept in the output folder, so a later run goes on from it.
     Runs with ``availableNow``: call ``awaitTermination()`` on the result.
     """
     stream = stream_shards(spark, path, casts, multiline=multiline, max_files_per_trigger=max_files_per_trigger)
-    ck = checkpoint or scratch_path(spark, "shard-stream-checkpoint")
+    ck = checkpoint or f"{out.rstrip('/')}/{CHECKPOINT}"
     writer = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", ck)

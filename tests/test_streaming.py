@@ -57,3 +57,22 @@ def test_stream_applies_the_strict_text_rule(spark, tmp_dir):
                                checkpoint=os.path.join(tmp_dir, "ck"))
     with pytest.raises(StreamingQueryException):
         q.awaitTermination()
+
+
+def test_second_run_without_a_checkpoint_imports_new_shards(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    _write(src, "x_00.csv", HEADER + "a,2020,1\nb,2021,2\n")
+    import_arriving_shards(spark, src, out).awaitTermination()
+    _write(src, "x_01.csv", "c,2022,3\n")
+    import_arriving_shards(spark, src, out).awaitTermination()
+    import_arriving_shards(spark, src, out).awaitTermination()
+    assert sorted(r.ref_iri for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+
+
+def test_stream_drops_a_header_with_a_quoted_blank_cell(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    _write(src, "x_00.csv", 'G,"",G\na,b,c\n1,2,3\n')
+    import_arriving_shards(spark, src, out).awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [("1", "2", "3")]
