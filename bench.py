@@ -19,10 +19,10 @@ sf0.01) to warm the JVM. Each timed step then runs ``BENCH_REPS`` times
 (default 3); ``queries`` holds the best run (warm, as the reference's
 warm-cache timings), ``first_run`` the first.
 
-``scale_up`` (outside the headline total): the export replicated
-``BENCH_SCALEUP`` times (default 10, about the reference's 5.7M rows at
-sf0.1; 0 disables), imported and reduced once, for a like-for-like
-comparison with the published import and reduction times.
+``wide`` (outside the headline total): the export at the published width (112
+columns, about 1.6 kB a row) and cardinality (about half a group per row, most
+sequences distinct), ``BENCH_WIDE`` times the rows of lineitem (default 1; 0
+disables), imported and reduced once, in GB/s and rows/s.
 
 Prints one JSON line.
 """
@@ -50,20 +50,13 @@ from tessera.plans.export_import import (  # noqa: E402
     export_casts,
     export_groups_fields,
     export_shards_dir,
-    release_written,
 )
 from tessera.sources.sharded_csv import write_sharded_csv  # noqa: E402
-from tessera.session import delete_created, get_session, scratch_path  # noqa: E402
+from tessera.session import get_session, release_scratch, scratch_path  # noqa: E402
 from tessera.sinks.writers import write_reduced_table  # noqa: E402
 
 
-_CREATED: list[str] = []
-
-
-def _scratch(spark, name: str) -> str:
-    path = scratch_path(spark, name)
-    _CREATED.append(path)
-    return path
+_scratch = scratch_path
 
 
 def _noop(df) -> None:
@@ -72,10 +65,9 @@ def _noop(df) -> None:
 
 def _steps(spark, sf_dir: str, cpus: int, times: dict, first: dict, reps: int):
     # set-up: the export as sharded CSV (not timed)
-    n_shards = max(cpus, 8)
-    src = export_shards_dir(spark, sf_dir, n_shards)
-    casts = export_casts(export_frame(spark, sf_dir).columns)
     n_export = read_table(spark, sf_dir, "lineitem").count()
+    src = export_shards_dir(spark, sf_dir, max(1, n_export // max(cpus, 8)))
+    casts = export_casts(export_frame(spark, sf_dir).columns)
 
     def timed(name, fn):
         out = None
@@ -99,50 +91,54 @@ def _steps(spark, sf_dir: str, cpus: int, times: dict, first: dict, reps: int):
     timed("class_report", lambda: class_report(table, "I", 1998, 5).collect())
     timed("exact_lookup", lambda: exact_lookup(reduced, "sequence", "SMALLRING").collect())
     timed("fuzzy_sweep", lambda: fuzzy_sweep(reduced.where(F.col("peptide_length") == 9), "sequence",
-                                             "SMALLRING", 2).collect())
+                                             "ERDWIDGET", 2).collect())
     names = read_table(spark, sf_dir, "part").select(clean_sequence(F.upper("p_name")).alias("q"))
     timed("fuzzy_join", lambda: _noop(fuzzy_join(names, "q", reduced, "sequence", 2)))
     timed("reduced_from_tables", lambda: _noop(reduced_table(spark, sf_dir)))
     return summary, reduced, n_export
 
 
-# Letters appended to replicated sequences (one per replica, so groups multiply too).
-REPLICA_RESIDUES = "ACDEFGHIKLMNPQRSTVWY"
+WIDTH = 112
+RESIDUES = "ACDEFGHIKLMNPQRSTVWY"
 
 
-def _scale_up(spark, sf_dir: str, cpus: int, factor: int) -> dict:
-    """Import and reduce the export replicated ``factor`` times (sf0.1 x 10 is about the
-    reference's row count). Replicas get a distinct trailing residue, so grains multiply too."""
-    e = export_frame(spark, sf_dir)
-    replica = F.explode(F.sequence(F.lit(0), F.lit(factor - 1))).alias("_r")
-    big = e.select("*", replica).withColumn(
-        "epitope_name",
-        F.concat(F.col("epitope_name"), F.substring(F.lit(REPLICA_RESIDUES), F.col("_r") % 20 + 1, 1)),
-    ).drop("_r")
+def _wide(spark, sf_dir: str, cpus: int, factor: int) -> dict:
+    """Import and reduce an export of the published width and cardinality."""
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    n_rows = lineitem.count() * factor
+    e = export_frame(spark, sf_dir).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(factor))))
+    # a sequence for every other row or so: the residues spell a hash
+    number = F.pmod(F.xxhash64("epitope_name", "reference_pmid", "epitope_starting_position", "_copy"), F.lit(n_rows))
+    letters = [F.substring(F.lit(RESIDUES), (F.floor(number / 20**k) % 20 + 1).cast("int"), F.lit(1)) for k in range(6)]
+    e = e.withColumn("epitope_name", F.concat(F.lit("SL"), *letters, F.lit("V"))).drop("_copy")
+    filler = [F.concat_ws(" ", "epitope_source_molecule", F.lit(f"text {k}")).alias(f"assay_note_{k}")
+              for k in range(WIDTH - len(e.columns))]
+    e = e.select("*", *filler)
     groups, fields = export_groups_fields(e.columns)
-    src = _scratch(spark, "bench-scaleup-src")
+    src = _scratch(spark, "bench-wide-src")
     n_shards = max(2 * cpus, 16)
-    write_sharded_csv(big, src, "export", n_shards, groups, fields,
-                      shard_col=F.pmod(F.xxhash64(*e.columns), F.lit(n_shards)))
+    write_sharded_csv(e, src, "export", n_shards, groups, fields,
+                      shard_col=F.pmod(F.xxhash64(*e.columns[:14]), F.lit(n_shards)))
 
-    imported_path = _scratch(spark, "bench-scaleup-import")
+    imported = _scratch(spark, "bench-wide-import")
     t0 = time.perf_counter()
-    summary = convert_to_parquet(spark, src, imported_path, export_casts(e.columns)).collect()[0]
+    summary = convert_to_parquet(spark, src, imported, export_casts(e.columns)).collect()[0]
     t_import = time.perf_counter() - t0
 
-    table = spark.read.parquet(imported_path)
+    table = spark.read.parquet(imported)
     t0 = time.perf_counter()
-    reduced = write_reduced_table(reduce_to_grain(extract_fields(table)), _scratch(spark, "bench-scaleup-red"))
+    reduced = write_reduced_table(reduce_to_grain(extract_fields(table)), _scratch(spark, "bench-wide-reduced"))
     t_reduce = time.perf_counter() - t0
-    rows = int(summary["rows"])
+    rows, n_reduced = int(summary["rows"]), reduced.count()
     return {
-        "factor": factor,
+        "columns": WIDTH,
         "rows": rows,
         "input_bytes": summary["input_bytes"],
-        "reduced_rows": reduced.count(),
+        "groups_per_row": round(n_reduced / rows, 3) if rows else None,
+        "distinct_sequences": reduced.select("sequence").distinct().count(),
         "import_s": round(t_import, 3),
         "reduce_s": round(t_reduce, 3),
-        "import_rows_per_sec": round(rows / t_import),
+        "import_gb_per_sec": round(summary["input_bytes"] / 1e9 / t_import, 3),
         "reduce_rows_per_sec": round(rows / t_reduce),
     }
 
@@ -154,7 +150,8 @@ def main() -> None:
         f"local[{cpus}]",
         app_name="tessera-bench",
         shuffle_partitions=2 * cpus,
-        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
+        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+               "spark.sql.files.maxPartitionBytes": "8m", "spark.sql.files.openCostInBytes": "1m"},
     )
     sf = os.path.basename(sf_dir).removeprefix("sf")
 
@@ -169,8 +166,8 @@ def main() -> None:
     summary, reduced, n_export = _steps(spark, sf_dir, cpus, times, first, reps)
 
     n_reduced = reduced.count()
-    factor = int(os.environ.get("BENCH_SCALEUP", "10"))
-    scale_up = _scale_up(spark, sf_dir, cpus, factor) if factor > 1 else None
+    factor = int(os.environ.get("BENCH_WIDE", "1"))
+    wide = _wide(spark, sf_dir, cpus, factor) if factor else None
     out = {
         "metric": "total_time",
         "value": round(sum(times.values()), 3),
@@ -179,20 +176,17 @@ def main() -> None:
         "first_run": first,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "rows": {"export": n_export, "imported": int(summary["rows"]), "reduced": n_reduced},
+        "import_gb_per_sec": round(summary["input_bytes"] / 1e9 / times["import"], 3),
         "throughput_rows_per_sec": {
-            "import": round(n_export / times["import"]) if times["import"] else None,
             "reduce": round(n_export / times["reduce"]) if times["reduce"] else None,
         },
         "import": {"input_bytes": summary["input_bytes"], "output_bytes": summary["output_bytes"],
                    "compression": summary["compression"]},
         "cpus": cpus,
-        "scale_up": scale_up,
+        "wide": wide,
     }
     print(json.dumps(out))
-    # remove the intermediate tables and shard sets this run wrote
-    for path in _CREATED:
-        delete_created(spark, path)
-    release_written(spark)
+    release_scratch(spark)
     spark.stop()
 
 

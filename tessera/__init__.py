@@ -7,7 +7,7 @@ Every function takes and returns Spark DataFrames or Columns.
 __version__ = "0.1.0"
 
 _EXPORTS = {
-    "tessera.session": ["get_session", "ensure_parallel", "shared_dir", "scratch_path"],
+    "tessera.session": ["get_session", "shared_dir", "scratch_path", "release_scratch"],
     "tessera.functions.naming": ["slugify", "slug_expr"],
     "tessera.functions.text": ["clean_sequence", "extract_or_null", "accession", "epitope_id", "flag_matches"],
     "tessera.functions.edit_distance": ["damerau_levenshtein", "dl_distance", "within_prefilter"],

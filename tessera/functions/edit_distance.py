@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
@@ -59,6 +60,75 @@ def dl_distance(a: str, b: str) -> int:
     return d[la + 1][lb + 1]
 
 
+def dl_within(a: list[str], b: list[str], k: int) -> np.ndarray:
+    """Distances of the pairs ``(a[n], b[n])``, with ``k + 1`` for every distance above ``k``.
+
+    All pairs advance together, row by row, over the ``2k + 1`` diagonals a distance of
+    ``k`` can reach; a pair leaves when its whole band exceeds ``k``. A transposition with
+    ``p`` and ``q`` edits between its ends costs ``p + q + 1``, so ``p + q < k``.
+    """
+    n = len(a)
+    over = k + 1
+    result = np.full(n, over, dtype=np.int32)
+    la = np.fromiter(map(len, a), np.int32, n)
+    lb = np.fromiter(map(len, b), np.int32, n)
+    todo = np.flatnonzero(np.abs(la - lb) <= k)
+    if not len(todo):
+        return result
+    la, lb = la[todo], lb[todo]
+
+    def codes(texts: list[str], lengths: np.ndarray, pad: int) -> np.ndarray:
+        # texts start at column `margin`; what lies outside equals nothing
+        out = np.full((len(todo), int(lengths.max(initial=0)) + 2 * margin), pad, dtype=np.int32)
+        for row, at in enumerate(todo):
+            out[row, margin:margin + lengths[row]] = np.frombuffer(texts[at].encode("utf-32-le"), dtype=np.int32)
+        return out
+
+    margin = 2 * k + 3
+    ca, cb = codes(a, la, -1), codes(b, lb, -2)
+    band = 2 * k + 1
+    shift = np.arange(-k, k + 1)
+    # rows[-1] is the last one; a row holds d[i, i - k .. i + k] for every pair
+    first = np.where(shift >= 0, shift, over).astype(np.int32)
+    rows = [np.full((len(todo), band), over, dtype=np.int32) for _ in range(k + 1)] + [np.tile(first, (len(todo), 1))]
+    for i in range(int(la.max(initial=0)) + 1):
+        done = np.flatnonzero(la == i)
+        if len(done):
+            result[todo[done]] = np.minimum(rows[-1][done, lb[done] - i + k], over)
+        stay = np.flatnonzero((la > i) & (rows[-1].min(axis=1) <= k))
+        if len(stay) < len(todo):
+            todo, la, lb, ca, cb = todo[stay], la[stay], lb[stay], ca[stay], cb[stay]
+            rows = [r[stay] for r in rows]
+        if not len(todo):
+            break
+        new = np.full((len(todo), band), over, dtype=np.int32)
+        x = ca[:, margin + i]
+        for o in range(band):
+            j = i + 1 + o - k  # d[i + 1, j] ends with b[j - 1]
+            if j < 0 or j > int(lb.max(initial=0)):
+                continue
+            if j == 0:
+                new[:, o] = min(i + 1, over)
+                continue
+            y = cb[:, margin + j - 1]
+            best = rows[-1][:, o] + (x != y)
+            if o:
+                best = np.minimum(best, new[:, o - 1] + 1)
+            if o + 1 < band:
+                best = np.minimum(best, rows[-1][:, o + 1] + 1)
+            for p in range(k):
+                for q in range(k - p):
+                    # from d[i - 1 - p, j - 2 - q]; the same diagonal but for p - q
+                    back = o + p - q
+                    if i - 1 - p < 0 or j - 2 - q < 0 or not 0 <= back < band:
+                        continue
+                    swap = (x == cb[:, margin + j - 2 - q]) & (y == ca[:, margin + i - 1 - p])
+                    best = np.where(swap, np.minimum(best, rows[-2 - p][:, back] + p + q + 1), best)
+            new[:, o] = np.minimum(best, over)
+        rows = rows[1:] + [new]
+    return result
+
+
 def _dl_series(a: pd.Series, b: pd.Series) -> pd.Series:
     out = [
         None if (x is None or y is None or x is pd.NA or y is pd.NA) else dl_distance(x, y)
@@ -73,6 +143,19 @@ def _dl_series(a: pd.Series, b: pd.Series) -> pd.Series:
 _dl_udf = F.pandas_udf(_dl_series, IntegerType()).asNondeterministic()
 
 
+def damerau_levenshtein_within(a: Column | str, b: Column | str, k: int) -> Column:
+    """Distance column, null above ``k`` and when either side is null. Prefilter first."""
+
+    def kernel(x: pd.Series, y: pd.Series) -> pd.Series:
+        known = (x.notna() & y.notna()).to_numpy()
+        out = np.full(len(x), k + 1, dtype=np.int32)
+        out[known] = dl_within(x[known].tolist(), y[known].tolist(), k)
+        return pd.Series(out, dtype="Int32").mask(out > k)
+
+    udf = F.pandas_udf(kernel, IntegerType()).asNondeterministic()
+    return udf(F.col(a) if isinstance(a, str) else a, F.col(b) if isinstance(b, str) else b)
+
+
 def damerau_levenshtein(a: Column | str, b: Column | str) -> Column:
     """Distance column (null when either side is null). Python path: prefilter first."""
     ca = F.col(a) if isinstance(a, str) else a

@@ -73,7 +73,6 @@ def flag_matches(col: Column | str, pattern: str = SPECIFIC_ALLELE_PATTERN) -> C
 # also trim blanks and accept suffixes such as "1.5d" or hex floats).
 # Optional sign and digits for integers; decimal or exponent
 # notation and inf/infinity/nan (any case) for fractional numbers.
-INTEGER_TEXT = r"[+-]?[0-9]+"
 DOUBLE_TEXT = r"[+-]?(?:(?:[0-9]+(?:[.][0-9]*)?|[.][0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))"
 _INTEGRAL = {"tinyint", "byte", "smallint", "short", "int", "integer", "bigint", "long"}
 _FRACTIONAL = {"float", "double", "real"}

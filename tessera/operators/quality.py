@@ -2,8 +2,7 @@
 
 Each ``check_*`` returns the *violating* rows (or keys) as a DataFrame, so a
 caller can count them, show a sample or write them out; ``quality_report``
-counts every check in a single aggregate pass plus one grouped pass for
-uniqueness.
+counts every check in one pass over the table.
 """
 
 from __future__ import annotations
@@ -61,23 +60,18 @@ def check_expected(df: DataFrame, expected: DataFrame, key: str, order: Sequence
 def quality_report(df: DataFrame, keys: Sequence[str] = GRAIN) -> DataFrame:
     """One row per check: ``check``, ``n_rows``, ``n_violations``.
 
-    Row-level checks share one aggregate pass; uniqueness needs one grouped pass
-    (its group counts also sum to the row count). The two are unioned, not joined.
+    One grouping by ``keys`` carries each key's rows and violations, and one global
+    aggregate of those sums gives every check, uniqueness included.
     """
     row_checks = {
         "residues_only": ~F.col("sequence").rlike(RESIDUES_ONLY_PATTERN),
         "span_equals_length": (F.col("end_position") - F.col("start_position") + 1) != F.col("peptide_length"),
         "modified_has_modification": F.col("is_modified") & (F.size("modifications") == 0),
     }
-    counts = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(c).alias(n) for n, c in row_checks.items()])
-    long_rows = counts.select(
-        "n_rows",
-        F.explode(F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("v")) for n in row_checks])).alias("c"),
-    ).select("c.check", "n_rows", F.col("c.v").cast("bigint").alias("n_violations"))
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    unique_row = per_key.agg(
-        F.lit("grain_unique").alias("check"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_rows"),
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n") - 1)), F.lit(0)).cast("bigint").alias("n_violations"),
-    )
-    return unique_row.unionByName(long_rows)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(n) for n, c in row_checks.items()])
+    totals = per_key.agg(
+        F.sum("n").alias("n_rows"), F.sum(F.col("n") - 1).alias("grain_unique"), *[F.sum(n).alias(n) for n in row_checks])
+    checks = F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("v")) for n in ("grain_unique", *row_checks)])
+    zero = F.lit(0).cast("bigint")
+    return totals.select("n_rows", F.explode(checks).alias("c")).select(
+        "c.check", F.coalesce("n_rows", zero).alias("n_rows"), F.coalesce("c.v", zero).alias("n_violations"))

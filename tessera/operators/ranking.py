@@ -7,10 +7,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Python lists up to this many keys become an IN-list (folded into the scan as a
-# pushed filter); longer key sets go through a semi join on a keys DataFrame.
-INLIST_MAX = 256
-
 
 def _order(spec: Sequence[Column | str]) -> list[Column]:
     return [F.col(s) if isinstance(s, str) else s for s in spec]
@@ -43,23 +39,21 @@ def top_groups(
     return df.groupBy(*group_cols).agg(*aggs).orderBy(*_order(order)).limit(n)
 
 
-def lookup(df: DataFrame, col: str, keys: DataFrame | Iterable) -> DataFrame:
+def lookup(df: DataFrame, col: str, keys: DataFrame | Iterable, in_list: bool = True) -> DataFrame:
     """Rows whose ``col`` is one of ``keys``.
 
-    A short Python collection becomes an IN-list that reaches the Parquet scan;
-    a keys DataFrame (any size) becomes a left semi join, leaving the optimizer
-    to broadcast it only when its measured size allows.
+    A Python collection becomes an IN-list that reaches the Parquet scan, or with
+    ``in_list=False`` a table; a keys DataFrame (any size) becomes a left semi join,
+    leaving the optimizer to broadcast it only when its measured size allows.
     """
-    if isinstance(keys, DataFrame):
-        kcol = keys.columns[0]
-        k = keys.select(F.col(kcol).alias("_lookup_key")).where(F.col("_lookup_key").isNotNull())
-        return df.join(k, df[col] == k["_lookup_key"], "left_semi")
-    values = list(dict.fromkeys(keys))
-    if len(values) <= INLIST_MAX:
-        return df.where(F.col(col).isin(values))
-    spark = df.sparkSession
-    kdf = spark.createDataFrame([(v,) for v in values], [col]).select(F.col(col).alias("_lookup_key"))
-    return df.join(kdf, df[col] == kdf["_lookup_key"], "left_semi")
+    if not isinstance(keys, DataFrame):
+        values = list(dict.fromkeys(keys))
+        if in_list:
+            return df.where(F.col(col).isin(values))
+        keys = df.sparkSession.createDataFrame([(v,) for v in values], [col])
+    k = keys.select(F.col(keys.columns[0]).alias("_lookup_key")).where(F.col("_lookup_key").isNotNull())
+    return df.join(k, df[col] == k["_lookup_key"], "left_semi")
+
 
 
 def exact_lookup(df: DataFrame, col: str, value) -> DataFrame:

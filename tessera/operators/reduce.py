@@ -109,6 +109,10 @@ def keys_present(keys) -> Column:
     return _fold(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
+def _column(name: str, value: Column, description: str, source: str) -> Column:
+    return value.alias(name, metadata={"description": description, "source": source})
+
+
 def reduce_to_grain(fields: DataFrame, grain=GRAIN) -> DataFrame:
     """One row per grain with modal, list and count aggregates (16 columns).
 
@@ -128,23 +132,29 @@ def reduce_to_grain(fields: DataFrame, grain=GRAIN) -> DataFrame:
         row_count().alias("n_assays"),
     )
     keyed = keys_present(grain)
+    src = SOURCE_COLUMNS
     return aggregated.select(
-        F.col("sequence"),
-        _narrow(F.char_length("sequence"), "smallint", "peptide length").alias("peptide_length"),
-        F.col("iedb_epitope_id"),
-        F.col("mhc_allele"),
-        F.col("mhc_class"),
-        flag_matches("mhc_allele").alias("allele_is_specific"),
-        F.col("uniprot_id"),
-        F.col("source_molecule"),
-        F.when(keyed, tuple_member("_pair", "start_position")).cast("int").alias("start_position"),
-        F.when(keyed, tuple_member("_pair", "end_position")).cast("int").alias("end_position"),
-        F.col("pmids"),
-        F.size("pmids").cast("int").alias("n_pmids"),
-        (F.size("modifications") > 0).alias("is_modified"),
-        F.col("modifications"),
-        F.col("modified_residues"),
-        F.col("n_assays"),
+        _column("sequence", F.col("sequence"), "residues only, without a modification note", src["name"]),
+        _column("peptide_length", _narrow(F.char_length("sequence"), "smallint", "peptide length"),
+                "residues in sequence", "sequence"),
+        _column("iedb_epitope_id", F.col("iedb_epitope_id"), "number at the end of the IRI", src["epitope_iri"]),
+        _column("mhc_allele", F.col("mhc_allele"), "restriction, unchanged", src["restriction_name"]),
+        _column("mhc_class", F.col("mhc_class"), "a class that some row of the group names", src["restriction_class"]),
+        _column("allele_is_specific", flag_matches("mhc_allele"), "whether the restriction names one allele", "mhc_allele"),
+        _column("uniprot_id", F.col("uniprot_id"), "accession that most rows have",
+                f"{src['parent_iri']}, {src['source_iri']}"),
+        _column("source_molecule", F.col("source_molecule"), "molecule name that most rows have", src["source_molecule"]),
+        _column("start_position", F.when(keyed, tuple_member("_pair", "start_position")).cast("int"),
+                "first position, of the pair that most rows have", src["start"]),
+        _column("end_position", F.when(keyed, tuple_member("_pair", "end_position")).cast("int"),
+                "last position, of the pair that most rows have", src["end"]),
+        _column("pmids", F.col("pmids"), "publications, each once, ascending", src["pmid"]),
+        _column("n_pmids", F.size("pmids").cast("int"), "number of publications", "pmids"),
+        _column("is_modified", F.size("modifications") > 0, "whether any row is modified", "modifications"),
+        _column("modifications", F.col("modifications"), "modifications, each once, ascending", src["modifications"]),
+        _column("modified_residues", F.col("modified_residues"), "modified residues, each once, ascending",
+                src["modified_residues"]),
+        _column("n_assays", F.col("n_assays"), "export rows of the group", "every row"),
     )
 
 

@@ -22,8 +22,11 @@ on both sides; an adjacent transposition is one deletion on each side).
 Either way every matching pair meets on a shared hashed key, and the search is
 an ordinary hash-partitioned equi-join: no cross join, no broadcast of a side
 that grows with the data. Strings are de-duplicated before expansion, so a hot
-value is expanded once. A shared key is necessary, not sufficient; candidates
-go through the JVM prefilters and then the exact kernel.
+value is expanded once. A shared key is necessary, not sufficient: where the key
+is a segment, the join emits a pair only if what lies left and right of it is
+within Levenshtein distance 2k altogether, so strings that merely share a segment
+(a common prefix, say) are compared but make no rows. Candidates go through the
+JVM prefilters and then the exact kernel.
 
 ``fuzzy_sweep`` is a scan + filter: the same prefilters, then the kernel on the
 survivors only.
@@ -36,7 +39,7 @@ from math import comb
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.edit_distance import damerau_levenshtein, within_prefilter
+from tessera.functions.edit_distance import damerau_levenshtein_within, within_prefilter
 
 
 def _one_deletion_sql(var: str, idx: str) -> str:
@@ -101,8 +104,13 @@ def _segment_sql(n: str, i: str, tau: int) -> tuple[str, str]:
     return start, length
 
 
+KEYS = "array<struct<key:bigint,at:int,len:int>>"
+
+
 def _tagged(strings: Column, tag: int) -> Column:
-    return F.transform(strings, lambda v: F.xxhash64(F.lit(tag), v))
+    """Keys without a place in the string."""
+    return F.transform(strings, lambda v: F.struct(
+        F.xxhash64(F.lit(tag), v).alias("key"), F.lit(-1).alias("at"), F.lit(0).alias("len"))).cast(KEYS)
 
 
 def target_segments(col: str, k: int) -> Column:
@@ -111,8 +119,9 @@ def target_segments(col: str, k: int) -> Column:
     n = f"char_length(`{col}`)"
     start, length = _segment_sql(n, "i", tau)
     return F.expr(
-        f"transform(sequence(0, {tau}), i -> xxhash64(1, {n}, i, substr(`{col}`, {start} + 1, {length})))"
-    )
+        f"transform(sequence(0, {tau}), i -> named_struct('key', xxhash64(1, {n}, i, substr(`{col}`, {start} + 1, {length})), "
+        f"'at', {start}, 'len', {length}))"
+    ).cast(KEYS)
 
 
 def query_signatures(col: str, k: int, min_target_len: int) -> Column:
@@ -124,30 +133,45 @@ def query_signatures(col: str, k: int, min_target_len: int) -> Column:
     inner = (
         f"transform(sequence(-{tau}, {tau}), d -> named_struct("
         f"'ok', {start} + d >= 0 AND {start} + d + {length} <= {nq}, "
-        f"'key', xxhash64(1, m, i, substr({q}, {start} + d + 1, {length}))))"
+        f"'key', xxhash64(1, m, i, substr({q}, {start} + d + 1, {length})), 'at', {start} + d, 'len', {length}))"
     )
     per_len = f"flatten(transform(sequence(0, {tau}), i -> {inner}))"
     lengths = f"filter(transform(sequence(-{k}, {k}), e -> {nq} + e), m -> m >= {min_target_len})"
     all_sigs = f"flatten(transform({lengths}, m -> {per_len}))"
-    return F.expr(f"array_distinct(transform(filter({all_sigs}, x -> x.ok), x -> x.key))")
+    return F.expr(
+        f"array_distinct(transform(filter({all_sigs}, x -> x.ok), x -> named_struct('key', x.key, 'at', x.at, 'len', x.len)))"
+    ).cast(KEYS)
 
 
 def fuzzy_sweep(df: DataFrame, col: str, query: str, k: int, distance_col: str = "distance") -> DataFrame:
-    """Rows whose ``col`` is within Damerau-Levenshtein distance ``k`` of ``query``."""
+    """Rows whose ``col`` is within Damerau-Levenshtein distance ``k`` of ``query``.
+
+    Distinct strings are compared once and joined back to their rows.
+    """
     q = F.lit(query)
-    survivors = df.where(within_prefilter(F.col(col), q, k))
-    return survivors.withColumn(distance_col, damerau_levenshtein(F.col(col), q)).where(
-        F.col(distance_col) <= k
-    )
+    survivors = df.select(F.col(col).alias("_s")).where(within_prefilter(F.col("_s"), q, k)).distinct()
+    near = survivors.withColumn(distance_col, damerau_levenshtein_within(F.col("_s"), q, k)).where(F.col(distance_col) <= k)
+    return df.join(near, df[col] == near["_s"]).drop("_s")
+
+
+def _sides_within(tau: int) -> Column:
+    """What is left and what is right of the shared segment, together within ``tau`` edits."""
+    def side(text: str, prefix: str, left: bool) -> Column:
+        at, size = F.col(f"{prefix}_at"), F.col(f"{prefix}_len")
+        return F.substring(text, F.lit(1), at) if left else F.substring(text, at + size + 1, F.char_length(text))
+
+    left = F.levenshtein(side("_q", "_q", True), side("_t", "_t", True), tau)
+    right = F.levenshtein(side("_q", "_q", False), side("_t", "_t", False), tau)
+    return (F.col("_t_at") < 0) | ((left >= 0) & (right >= 0) & (left + right <= tau))
 
 
 def fuzzy_pairs(queries: DataFrame, q_col: str, targets: DataFrame, t_col: str, k: int) -> DataFrame:
     """Distinct ``(query, target, distance)`` with ``DL(query, target) <= k``."""
     l0 = switch_length(k)
-    qs = queries.select(F.col(q_col).alias("_q")).where(F.col("_q").isNotNull()).distinct()
-    ts = targets.select(F.col(t_col).alias("_t")).where(F.col("_t").isNotNull()).distinct()
+    qs = queries.select(F.col(q_col).alias("_q")).where(F.col(q_col).isNotNull()).distinct()
+    ts = targets.select(F.col(t_col).alias("_t")).where(F.col(t_col).isNotNull()).distinct()
     qlen, tlen = F.char_length("_q"), F.char_length("_t")
-    empty = F.array().cast("array<bigint>")
+    empty = F.array().cast(KEYS)
     # one key array per string, each key tagged with its scheme, so each side is
     # expanded once and joined once: short targets by shared deletion variant,
     # long targets by a verbatim segment at a bounded shift
@@ -156,11 +180,11 @@ def fuzzy_pairs(queries: DataFrame, q_col: str, targets: DataFrame, t_col: str,
         F.when(qlen <= l0 + k, _tagged(deletion_variants("_q", k), 0)).otherwise(empty),
         F.when(qlen >= l0 + 1 - k, query_signatures("_q", k, l0 + 1)).otherwise(empty),
     )
-    qk = qs.select("_q", F.explode(q_keys).alias("_key"))
-    tk = ts.select("_t", F.explode(t_keys).alias("_key"))
-    cand = qk.join(tk, "_key").select("_q", "_t").distinct()
+    qk = qs.select("_q", F.inline(q_keys)).toDF("_q", "_key", "_q_at", "_q_len")
+    tk = ts.select("_t", F.inline(t_keys)).toDF("_t", "_key", "_t_at", "_t_len")
+    cand = qk.join(tk, "_key").where(_sides_within(2 * k)).select("_q", "_t").distinct()
     cand = cand.where(within_prefilter(F.col("_q"), F.col("_t"), k))
-    scored = cand.withColumn("_d", damerau_levenshtein(F.col("_q"), F.col("_t"))).where(F.col("_d") <= k)
+    scored = cand.withColumn("_d", damerau_levenshtein_within(F.col("_q"), F.col("_t"), k)).where(F.col("_d") <= k)
     return scored.select(
         F.col("_q").alias("query_sequence"), F.col("_t").alias("sequence"), F.col("_d").alias("distance")
     )

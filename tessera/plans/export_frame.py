@@ -15,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_parallel
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -32,7 +30,6 @@ def export_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    li = ensure_parallel(li, ["l_orderkey", "l_partkey", "l_linenumber"])
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
 

@@ -16,8 +16,8 @@ from tessera.functions.naming import slug_expr
 from tessera.functions.text import clean_sequence
 from tessera.operators.aggregates import distinct_sorted_list, modal_value
 from tessera.operators.catalog import audit_casts
-from tessera.operators.quality import quality_report
-from tessera.operators.ranking import best_per_key, exact_lookup, lookup
+from tessera.operators.quality import check_expected, quality_report
+from tessera.operators.ranking import best_per_key, best_row, exact_lookup, lookup
 from tessera.operators.reduce import GRAIN, modal_pair_per_grain
 from tessera.operators.reports import class_report, reduced_summary
 from tessera.operators.similarity import fuzzy_join, fuzzy_sweep
@@ -30,14 +30,17 @@ from tessera.plans.epitope_table import (
     with_reduced,
 )
 from tessera.plans.export_frame import export_frame, read_table
-from tessera.sinks.writers import flatten_lists
+from tessera.session import scratch_path
+from tessera.sinks.writers import flatten_lists, write_csv_report, write_parquet, write_reduced_table
 from tessera.sources.parquet import sql_over_files
+from tessera.sources.sharded_csv import NULL_SENTINEL
 
 # Fixed query parameters (chosen once for the driver data: ship years run 1995-2001).
 REPORT_CLASS = "I"
 REPORT_MIN_YEAR = 1998
 REPORT_TOP_N = 5
-SWEEP_QUERY = "SMALLRING"
+LOOKUP = "SMALLRING"
+SWEEP_QUERY = "ERDWIDGET"  # two letters of a part name swapped
 SWEEP_LENGTH = 9
 MAX_DISTANCE = 2
 
@@ -71,9 +74,10 @@ LIMIT {REPORT_TOP_N}"""
 
 
 def q_class_report_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the same report written as SQL over a view (Catalyst plans it identically)
-    return sql_over_files(spark, CLASS_REPORT_SQL.format(table="export_frame"),
-                          export_frame=export_frame(spark, sf_dir))
+    # the same report as SQL over a written Parquet table, by its path
+    path = scratch_path(spark, "export-frame")
+    write_parquet(export_frame(spark, sf_dir), path)
+    return sql_over_files(spark, CLASS_REPORT_SQL.format(table="{table}"), table=path)
 
 
 def q_extract_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,29 +121,48 @@ def q_best_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_lists(best)
 
 
+KNOWN_COLUMNS = ("sequence", "iedb_epitope_id", "mhc_allele", "uniprot_id", "start_position", "end_position",
+                 "pmids", "n_pmids", "modifications", "modified_residues", "n_assays")
+
+
 def q_known_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     # membership against a keys table (every part name, cleaned like a sequence)
     keys = read_table(spark, sf_dir, "part").select(clean_sequence(F.upper("p_name")).alias("sequence"))
     r = lookup(reduced_table(spark, sf_dir), "sequence", keys).where(F.col("allele_is_specific"))
     best = best_per_key(r, ["sequence"], best_order())
-    return flatten_lists(best).select(
-        "sequence", "iedb_epitope_id", "mhc_allele", "uniprot_id", "start_position", "end_position",
-        "pmids", "n_pmids", "modifications", "modified_residues", "n_assays",
-    )
+    return flatten_lists(best).select(*KNOWN_COLUMNS)
+
+
+def q_known_rows_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the same rows written as an ordered CSV report and read back as text
+    path = scratch_path(spark, "known-rows")
+    write_csv_report(q_known_rows(spark, sf_dir), path, order_by=[F.col("sequence")])
+    schema = ", ".join(f"{c} string" for c in KNOWN_COLUMNS)
+    return spark.read.schema(schema).options(header=True, escape='"', nullValue=NULL_SENTINEL).csv(path)
+
+
+def q_best_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_lists(best_row(reduced_table(spark, sf_dir), "sequence", LOOKUP, best_order()))
+
+
+def q_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # what every part name's best row should hold, against what it holds
+    expected = read_table(spark, sf_dir, "part").select(
+        clean_sequence(F.upper("p_name")).alias("sequence"), F.lit("P1").alias("uniprot_id"), F.lit(1).alias("start_position"),
+    ).distinct()
+    return check_expected(reduced_table(spark, sf_dir), expected, "sequence", best_order(), ["uniprot_id", "start_position"],
+                          where=F.col("allele_is_specific"))
 
 
 def q_exact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_lists(exact_lookup(reduced_table(spark, sf_dir), "sequence", SWEEP_QUERY))
+    return flatten_lists(exact_lookup(reduced_table(spark, sf_dir), "sequence", LOOKUP))
 
 
 def q_sorted_table_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the reduced table written range-sorted by grain (zstd-9) under the shared
     # scratch folder, then an equality lookup that prunes on row-group statistics
-    from tessera.session import scratch_path
-    from tessera.sinks.writers import write_reduced_table
-
     written = write_reduced_table(reduced_table(spark, sf_dir), scratch_path(spark, "reduced-table"))
-    return flatten_lists(exact_lookup(written, "sequence", SWEEP_QUERY))
+    return flatten_lists(exact_lookup(written, "sequence", LOOKUP))
 
 
 def q_fuzzy_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,6 +206,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reduced_summary": q_reduced_summary,
     "best_per_key": q_best_per_key,
     "known_rows": q_known_rows,
+    "known_rows_report": q_known_rows_report,
+    "best_row": q_best_row,
+    "expectations": q_expectations,
     "exact_lookup": q_exact_lookup,
     "sorted_table_lookup": q_sorted_table_lookup,
     "fuzzy_sweep": q_fuzzy_sweep,
@@ -213,15 +239,17 @@ def _audit_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+_PART_SEQUENCE = "regexp_replace(split_part(upper(p_name), ' + ', 1), '\\s+', '', 'g')"
+
+_KNOWN_SQL = f"""sequence, iedb_epitope_id, mhc_allele, uniprot_id, start_position, end_position,
+       array_to_string(pmids, ',') AS pmids, n_pmids, array_to_string(modifications, ',') AS modifications,
+       array_to_string(modified_residues, ',') AS modified_residues, n_assays
+FROM (SELECT *, row_number() OVER (PARTITION BY sequence ORDER BY {BEST_ORDER_SQL}) AS rk
+      FROM r WHERE allele_is_specific AND sequence IN (SELECT {_PART_SEQUENCE} FROM part))
+WHERE rk = 1"""
+
 ORACLES: dict[str, str] = {
-    "class_report": with_export(
-        f"""SELECT mhc_restriction_name, count(*) AS assays,
-       round(avg(epitope_ending_position - epitope_starting_position + 1), 1) AS mean_len
-FROM e WHERE mhc_restriction_class = '{REPORT_CLASS}' AND reference_date >= {REPORT_MIN_YEAR}
-GROUP BY mhc_restriction_name
-ORDER BY assays DESC, mhc_restriction_name ASC NULLS LAST
-LIMIT {REPORT_TOP_N}"""
-    ),
+    "class_report": with_export(CLASS_REPORT_SQL.format(table="e")),
     "class_report_sql": with_export(CLASS_REPORT_SQL.format(table="e")),
     "extract_fields": with_fields("SELECT * FROM f"),
     "modal_pair": with_reduced(
@@ -249,17 +277,20 @@ FROM r"""
         REDUCED_FLAT_SELECT.replace("FROM r", "FROM (SELECT *, row_number() OVER (PARTITION BY sequence ORDER BY "
                                     + BEST_ORDER_SQL + ") AS rk FROM r WHERE allele_is_specific) WHERE rk = 1")
     ),
-    "known_rows": with_reduced(
-        f"""SELECT sequence, iedb_epitope_id, mhc_allele, uniprot_id, start_position, end_position,
-       array_to_string(pmids, ',') AS pmids, n_pmids, array_to_string(modifications, ',') AS modifications,
-       array_to_string(modified_residues, ',') AS modified_residues, n_assays
-FROM (SELECT *, row_number() OVER (PARTITION BY sequence ORDER BY {BEST_ORDER_SQL}) AS rk
-      FROM r WHERE allele_is_specific
-        AND sequence IN (SELECT regexp_replace(split_part(upper(p_name), ' + ', 1), '\\s+', '', 'g') FROM part))
-WHERE rk = 1"""
+    "known_rows": with_reduced("SELECT " + _KNOWN_SQL),
+    "known_rows_report": with_reduced("SELECT COLUMNS(*)::varchar FROM (SELECT " + _KNOWN_SQL + ")"),
+    "best_row": with_reduced(
+        REDUCED_FLAT_SELECT + f"\nWHERE sequence = '{LOOKUP}' ORDER BY {BEST_ORDER_SQL} LIMIT 1"),
+    "expectations": with_reduced(
+        f"""SELECT x.sequence, 'P1' AS expected_uniprot_id, 1 AS expected_start_position, b.uniprot_id, b.start_position,
+       b.sequence IS NOT NULL AS found
+FROM (SELECT DISTINCT {_PART_SEQUENCE} AS sequence FROM part) x
+LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sequence ORDER BY {BEST_ORDER_SQL}) AS rk
+                          FROM r WHERE allele_is_specific) WHERE rk = 1) b ON x.sequence = b.sequence
+WHERE b.sequence IS NULL OR b.uniprot_id IS DISTINCT FROM 'P1' OR b.start_position IS DISTINCT FROM 1"""
     ),
-    "exact_lookup": with_reduced(REDUCED_FLAT_SELECT + f"\nWHERE sequence = '{SWEEP_QUERY}'"),
-    "sorted_table_lookup": with_reduced(REDUCED_FLAT_SELECT + f"\nWHERE sequence = '{SWEEP_QUERY}'"),
+    "exact_lookup": with_reduced(REDUCED_FLAT_SELECT + f"\nWHERE sequence = '{LOOKUP}'"),
+    "sorted_table_lookup": with_reduced(REDUCED_FLAT_SELECT + f"\nWHERE sequence = '{LOOKUP}'"),
     "fuzzy_sweep": with_reduced(
         f"""SELECT sequence, mhc_allele, uniprot_id, source_molecule,
        damerau_levenshtein(sequence, '{SWEEP_QUERY}')::int AS distance

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every job in this library relies on. ANSI mode makes casts strict
 # (a value that does not fit raises), which is what the import contract needs.
@@ -30,8 +29,8 @@ def get_session(
     """Build (or reuse) a session with the library defaults.
 
     On a cluster the launcher normally provides the session; this is for tests,
-    the bench and local runs. ``spark.checkpoint.dir`` is only set when the
-    environment left it unset.
+    the bench and local runs. ``spark.checkpoint.dir`` is left as the environment
+    set it; see :func:`shared_dir` for sessions without it.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -44,38 +43,9 @@ def get_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        local_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", local_dir)
-    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
     return spark
 
 
-def ensure_parallel(df: DataFrame, keys: list[str] | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    A single large Parquet row group (or one unsplittable file) is read by one
-    task, and everything fused into that stage (joins with a broadcast side,
-    projections, partial aggregation) then runs single-threaded. Below the
-    target, hash-repartition on ``keys`` (default: every column), deterministic
-    and without a local sort; give a few well-spread keys so that columns the
-    query does not need can still be pruned from the scan. At scale the input has far more splits than cores and this
-    is a no-op (only the planned split count is inspected; no job runs).
-    """
-    try:
-        # meant for scans: with an exchange in the plan, asking for the partition
-        # count would make adaptive execution run those stages eagerly
-        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-            return df
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        planned = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. Spark Connect): leave as is
-        return df
-    if planned >= target:
-        return df
-    return df.repartition(target, *(keys or df.columns))
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -94,10 +64,28 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+_scratch: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder for one intermediate table."""
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/tessera-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared folder for one intermediate table.
+
+    The table lives until :func:`release_scratch`, since results read from it lazily.
+    """
+    path = f"{shared_dir(spark).rstrip('/')}/tessera-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Remove the intermediate tables that this application made so far; how many there were.
+
+    Call it once the results that read them are written or collected.
+    """
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        delete_created(spark, path)
+    return len(paths)
 
 
 def delete_created(spark: SparkSession, path: str) -> None:
@@ -124,10 +112,3 @@ def hadoop_fs(spark: SparkSession, path: str):
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = hadoop_fs(spark, path)
     return bool(fs.exists(jpath))
-
-
-def to_uri(path: str) -> str:
-    """Local paths as absolute paths; URIs unchanged."""
-    if "://" in path or path.startswith("file:"):
-        return path
-    return os.path.abspath(path)

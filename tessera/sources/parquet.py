@@ -11,15 +11,13 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sql_over_files(spark: SparkSession, query: str, **tables: str | DataFrame) -> DataFrame:
-    """Run ``query`` with each keyword bound as a temporary view.
+    """Run ``query`` with each keyword bound to the ``{name}`` in it, without a view that stays.
 
     A value is either a Parquet path or a DataFrame. A query may also name a file
     directly, as ``parquet.`/path/to/table```.
     """
-    for name, src in tables.items():
-        df = src if isinstance(src, DataFrame) else spark.read.parquet(src)
-        df.createOrReplaceTempView(name)
-    return spark.sql(query)
+    frames = {name: src if isinstance(src, DataFrame) else spark.read.parquet(src) for name, src in tables.items()}
+    return spark.sql(query, **frames)
 
 
 def row_count(spark: SparkSession, path: str) -> int:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators.catalog import audit_casts, describe_table
-from tessera.operators.ranking import INLIST_MAX, best_row, lookup, top_groups
+from tessera.operators.ranking import best_row, lookup, top_groups
 from tessera.operators.reports import import_summary, reduced_summary
 from tessera.sinks.writers import flatten_lists, write_catalog_json, write_csv_report, write_reduced_table
 from tessera.sources.parquet import sql_over_files
@@ -33,12 +33,16 @@ def reduced(spark):
     return spark.createDataFrame(REDUCED_ROWS, REDUCED_SCHEMA)
 
 
-def test_describe_table(spark, reduced):
-    cat = {r.name: r for r in describe_table(reduced).collect()}
+def test_describe_table(spark, tmp_dir):
+    from tessera.plans.epitope_table import reduced_table
+
+    out = os.path.join(tmp_dir, "red")
+    table = write_reduced_table(reduced_table(spark, "/root/testdata/sf0.001"), out)
+    cat = {r.name: r for r in describe_table(table).collect()}
     assert cat["pmids"].dtype == "array<int>" and cat["n_assays"]["index"] == 15
     assert "parent_iri" in cat["uniprot_id"].source and cat["n_assays"].dtype == "bigint"
     with pytest.raises(KeyError):
-        describe_table(reduced.withColumn("extra", F.lit(1)))
+        describe_table(table.withColumn("extra", F.lit(1)))
 
 
 def test_describe_source_and_json(spark, tmp_dir):
@@ -57,19 +61,19 @@ def test_describe_source_and_json(spark, tmp_dir):
     assert len(lines) == 2
 
 
-def test_known_rows_csv_roundtrip(spark, reduced, tmp_dir):
-    out = os.path.join(tmp_dir, "known")
-    best = best_row(reduced.where("allele_is_specific"), "sequence", "GILGFVFTL", [F.desc("n_assays")])
-    write_csv_report(best.unionByName(best_row(reduced, "sequence", "ELAGIGILTV", [F.desc("n_assays")])), out)
-    files = glob.glob(out + "/*.csv")
-    assert len(files) == 1
-    rows = list(csv.DictReader(open(files[0], newline="", encoding="utf-8")))
-    g = next(r for r in rows if r["sequence"] == "GILGFVFTL")
-    assert g["uniprot_id"] == "P03485" and (g["start_position"], g["end_position"]) == ("58", "66")
-    pmids = g["pmids"].split(",")
-    assert len(pmids) == int(g["n_pmids"]) and all(p.isdigit() for p in pmids)
-    e = next(r for r in rows if r["sequence"] == "ELAGIGILTV")
-    assert e["modified_residues"] == "M1,M5" and e["uniprot_id"] == ""
+def test_report_reads_back_as_it_was_written(spark, tmp_dir):
+    rows = spark.createDataFrame(
+        [(" lead", [1, 2], 'q"u,o'), ("trail\t", [], ""), (None, None, "line\nbreak")], "a string, b array<int>, c string")
+    out = os.path.join(tmp_dir, "report")
+    write_csv_report(rows, out)
+    back = spark.read.schema("a string, b string, c string").options(
+        header=True, escape='"', multiLine=True, nullValue="\u0001").csv(out)
+    assert {tuple(r) for r in back.collect()} == {(" lead", "1,2", 'q"u,o'), ("trail\t", "", ""), (None, None, "line\nbreak")}
+
+
+def test_best_row_is_the_first_by_the_order(spark, reduced):
+    best = best_row(reduced, "sequence", "GILGFVFTL", [F.desc("n_assays")])
+    assert [r.iedb_epitope_id for r in best.collect()] == [2]
 
 
 def test_best_row_missing_is_empty(spark, reduced):
@@ -78,8 +82,9 @@ def test_best_row_missing_is_empty(spark, reduced):
 
 def test_lookup_short_and_long(spark, reduced):
     assert lookup(reduced, "sequence", ["GILGFVFTL"]).count() == 2
-    many = ["X%d" % i for i in range(INLIST_MAX + 5)] + ["ELAGIGILTV"]
-    assert lookup(reduced, "sequence", many).count() == 1
+    many = ["X%d" % i for i in range(300)] + ["ELAGIGILTV"]
+    for in_list in (True, False):
+        assert lookup(reduced, "sequence", many, in_list=in_list).count() == 1
     keys = spark.createDataFrame([("GILGFVFTL",), (None,)], "k string")
     assert lookup(reduced, "sequence", keys).count() == 2
 
@@ -110,7 +115,7 @@ def test_write_reduced_sorted_and_sql(spark, reduced, tmp_dir):
     out = os.path.join(tmp_dir, "red")
     back = write_reduced_table(reduced, out)
     assert [r.sequence for r in back.collect()] == sorted(r[0] for r in REDUCED_ROWS)
-    res = sql_over_files(spark, "SELECT count(*) AS n FROM t WHERE peptide_length = 9", t=out).first()
+    res = sql_over_files(spark, "SELECT count(*) AS n FROM {t} WHERE peptide_length = 9", t=out).first()
     assert res.n == 2
     direct = spark.sql(f"SELECT count(*) AS n FROM parquet.`{out}`").first()
     assert direct.n == 3
@@ -139,7 +144,9 @@ def test_delete_created_only_touches_scratch(spark):
 
 def test_catalog_document(spark, reduced, tmp_dir):
     out = os.path.join(tmp_dir, "doc")
-    write_catalog_json(describe_table(reduced), out, document=True)
+    described = reduced.select(*[
+        F.col(c).alias(c, metadata={"description": f"about {c}", "source": "test"}) for c in reduced.columns])
+    write_catalog_json(describe_table(described), out, document=True)
     docs = [json.loads(x) for p in glob.glob(out + "/*.json") for x in open(p)]
     assert len(docs) == 1 and docs[0]["column_count"] == 16
     assert [c["index"] for c in docs[0]["columns"]] == list(range(16))

@@ -1,7 +1,6 @@
 """Plan-shape checks: the properties that make the operators hold at scale, plus the
 report smoke test (typed, ordered, five rows, CSV written)."""
 
-import csv
 import glob
 import os
 
@@ -21,19 +20,50 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_report_smoke(spark, tmp_dir):
-    rep = class_report(export_frame(spark, SF), "I", 1998, 5)
-    rows = rep.collect()
-    assert len(rows) == 5
-    counts = [r.assays for r in rows]
-    assert counts == sorted(counts, reverse=True)
-    for r in rows:
-        assert r.assays > 0 and 5 < r.mean_len < 20
+def test_report_rows_and_their_csv(spark, tmp_dir):
+    frame = spark.createDataFrame(
+        [("A*01", "I", 2000, 10, 18)] * 3 + [("A*02", "I", 1998, 1, 10)] * 2 + [("A*02", "I", 1998, 1, 11)]
+        + [("B*01", "I", 1997, 1, 9), ("C*01", "II", 2001, 1, 9), (None, "I", 2001, None, None)],
+        "mhc_restriction_name string, mhc_restriction_class string, reference_date int, epitope_starting_position int, "
+        "epitope_ending_position int")
+    report = class_report(frame, "I", 1998, 5)
+    expected = [("A*01", 3, 9.0), ("A*02", 3, 10.3), (None, 1, None)]
+    assert [tuple(r) for r in report.collect()] == expected
     out = os.path.join(tmp_dir, "report")
-    write_csv_report(rep, out, order_by=[F.desc("assays"), F.asc_nulls_last("mhc_restriction_name")])
-    lines = list(csv.reader(open(glob.glob(out + "/*.csv")[0], newline="", encoding="utf-8")))
-    assert lines[0] == ["mhc_restriction_name", "assays", "mean_len"]
-    assert len(lines) == 6 and lines[1][1] == str(rows[0].assays)
+    write_csv_report(report, out, order_by=[F.desc("assays"), F.asc_nulls_last("mhc_restriction_name")])
+    back = spark.read.schema(report.schema).option("header", True).csv(out)
+    assert sorted(map(repr, map(tuple, back.collect()))) == sorted(map(repr, expected))
+
+
+def test_single_file_report_keeps_the_tasks_before_it(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "one")
+    write_csv_report(spark.range(0, 1000, 1, 8).toDF("k"), out, single_file=True, order_by=["k"])
+    assert len(glob.glob(out + "/*.csv")) == 1
+    assert [r.k for r in spark.read.schema("k long").option("header", True).csv(out).collect()] == list(range(1000))
+
+
+def test_quality_report_reads_each_table_once(spark):
+    plan = _plan(entry_mod.queries()["quality_checks"](spark, SF))
+    assert plan.count("FileScan") == 2
+
+
+def test_lineitem_shuffles_once_without_a_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(export_frame(spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange") == 2  # one for each side of the join
+
+
+def test_scratch_tables_are_released(spark):
+    from tessera.session import path_exists, release_scratch, scratch_path
+
+    path = scratch_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert release_scratch(spark) >= 1
+    assert not path_exists(spark, path)
 
 
 def test_reduction_is_one_partial_aggregate_and_one_shuffle(spark):
@@ -68,13 +98,3 @@ def test_distance_kernel_runs_once(spark):
     plan = _plan(entry_mod.queries()["fuzzy_join"](spark, SF))
     assert plan.count("ArrowEvalPython") == 1
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-
-
-def test_ensure_parallel_spreads_scans_only(spark):
-    from tessera.session import ensure_parallel
-
-    scan = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_partkey")
-    spread = ensure_parallel(scan, ["l_orderkey"], min_partitions=4)
-    assert spread.rdd.getNumPartitions() == 4
-    grouped = scan.groupBy("l_orderkey").count()
-    assert ensure_parallel(grouped, min_partitions=64) is grouped

@@ -5,6 +5,7 @@ from math import comb
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.functions.edit_distance import damerau_levenshtein, dl_distance
 from tessera.operators.similarity import deletion_variants, fuzzy_join, fuzzy_pairs, fuzzy_sweep
@@ -110,3 +111,36 @@ def test_distance_zero_is_equality_and_negative_rejected(spark):
     assert got == {("ABC", "ABC", 0), ("A" * 60, "A" * 60, 0)}
     with pytest.raises(ValueError):
         fuzzy_pairs(q, "q", t, "t", -1)
+
+
+def test_a_common_prefix_makes_few_candidates(spark):
+    """Strings that share a segment at one place meet in the join but make no rows unless the rest is near."""
+    import random
+
+    from tessera.operators import similarity as S
+
+    rnd = random.Random(5)
+    made = {}
+    for n in (200, 400):
+        strings = ["PREFIXPREFIX" + "".join(rnd.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(28)) for _ in range(n)]
+        df = spark.createDataFrame([(s,) for s in strings], "s string")
+        k, l0 = 2, S.switch_length(2)
+        qk = df.select("s", F.inline(S.query_signatures("s", k, l0 + 1))).toDF("_q", "_key", "_q_at", "_q_len")
+        tk = df.select("s", F.inline(S.target_segments("s", k))).toDF("_t", "_key", "_t_at", "_t_len")
+        made[n] = qk.join(tk, "_key").where(S._sides_within(2 * k)).count()
+        pairs = S.fuzzy_pairs(df, "s", df, "s", k).collect()
+        assert sorted((r.query_sequence, r.sequence) for r in pairs) == sorted((s, s) for s in strings)
+    assert made[400] < 2.5 * made[200] < 2.5 * 200 * 30
+
+
+def test_banded_kernel_matches_the_full_one():
+    import random
+
+    from tessera.functions.edit_distance import dl_distance, dl_within
+
+    rnd = random.Random(11)
+    for k in range(4):
+        a = ["".join(rnd.choice("abc") for _ in range(rnd.randint(0, 8))) for _ in range(1500)]
+        b = ["".join(rnd.choice("abc") for _ in range(rnd.randint(0, 8))) for _ in range(1500)]
+        a, b = a + ["CA", "", "ab"], b + ["ABC", "", "ba"]
+        assert dl_within(a, b, k).tolist() == [min(dl_distance(x, y), k + 1) for x, y in zip(a, b)]
