@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -15,6 +16,9 @@ from tessera.session import scratch_path
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -41,6 +45,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``df.mapInArrow(run, schema)``, with this package importable where the tasks run.
+
+    Workers on this machine get the package's folder on their path; on a cluster the package is
+    installed or shipped with ``--py-files``.
+    """
+    paths = df.sparkSession.sparkContext.environment
+    known = [p for p in paths.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in known:
+        paths["PYTHONPATH"] = os.pathsep.join([_ROOT, *known])
+    return df.mapInArrow(run, schema)
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply a batch function on each Arrow batch; ``make`` sets it up once per task."""
 
@@ -50,7 +67,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
             if batch.num_rows:
                 yield step(batch)
 
-    return df.mapInArrow(run, schema)
+    return arrow_map(df, run, schema)
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:

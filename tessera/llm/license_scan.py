@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import in_text_groups, text_or_empty
+from tessera.llm.common import arrow_map, in_text_groups, text_or_empty
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -90,7 +90,7 @@ def word_frequencies(docs: DataFrame, vocabulary: set[str]) -> dict[str, int]:
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(list(n)), pa.array(list(n.values()), pa.int64())], names=["word", "n"])
 
-    counts = docs.select("doc_id", "text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = arrow_map(docs.select("doc_id", "text"), run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     return {row["word"]: row["n"] for row in counts.collect()}  # at most one row for each word of the templates
 
 
@@ -180,5 +180,5 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, contain
                              1.0 if base else max(close.values(), default=0.0)))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
+    return arrow_map(docs, run, "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
                                 "base_labels string, labels string, score double")

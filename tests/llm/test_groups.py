@@ -1,0 +1,227 @@
+"""Exact and near copies, sharding: against brute force."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+from itertools import combinations
+
+from pyspark.sql import functions as F
+
+from tessera.llm.components import connected_components
+from tessera.llm.exact_dedup import drop_exact_copies, exact_dedup
+from tessera.llm.jaccard_join import drop_near_copies, similar_documents
+from tessera.llm.sharding import RoomTree, best_fit_decreasing, least_capacity, shard_documents
+
+
+def normal(t):
+    return (t or "").translate({ord(c): None for c in " \t\n\x0b\x0c\r"})
+
+
+def check_dedup(rows, texts):
+    groups = defaultdict(list)
+    for i, t in texts:
+        groups[normal(t)].append((-len(t or ""), i is None, i))
+    by_hash = {hashlib.sha256(k.encode()).hexdigest(): min(v)[2] for k, v in groups.items()}
+    sizes = {hashlib.sha256(k.encode()).hexdigest(): len(v) for k, v in groups.items()}
+    assert sorted((r.doc_id, r.text_sha256) for r in rows if r.doc_id is not None) == sorted(
+        (i, hashlib.sha256(normal(t).encode()).hexdigest()) for i, t in texts if i is not None)
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert (r.keep_id, r.group_size) == (by_hash[r.text_sha256], sizes[r.text_sha256])
+    kept = [r for r in rows if r.kept]
+    assert Counter(r.text_sha256 for r in kept) == Counter(sizes.keys())
+    assert all(r.doc_id == r.keep_id for r in kept)
+
+
+def test_dedup_of_odd_rows(odd_docs, odd_rows):
+    check_dedup(exact_dedup(odd_docs).collect(), odd_rows)
+
+
+def test_dedup_where_digests_collide(odd_docs, odd_rows):
+    rows = exact_dedup(odd_docs, digest=lambda norm: F.lit("same")).collect()
+    sizes = Counter(normal(t) for _, t in odd_rows)
+    assert sorted(r.group_size for r in rows) == sorted(sizes[normal(t)] for _, t in odd_rows)
+    assert sum(r.kept for r in rows) == len(sizes)
+
+
+def test_dedup_of_a_hot_text(spark):
+    texts = [(i, "hot text" + " " * (i % 3)) for i in range(3000)] + [(i, f"text {i % 700}") for i in range(3000, 6000)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(7)
+    check_dedup(exact_dedup(df, salts=4).collect(), texts)
+
+
+def test_drop_exact_copies_keeps_columns_and_one_row(odd_docs, odd_rows):
+    kept = drop_exact_copies(odd_docs)
+    assert kept.columns == odd_docs.columns
+    rows = kept.collect()
+    assert Counter(normal(r.text) for r in rows) == Counter({normal(t): 1 for _, t in odd_rows})
+    assert {r.doc_id for r in rows if r.text and "same" in r.text} == {5}
+
+
+def test_dedup_of_no_rows(no_docs):
+    assert exact_dedup(no_docs).collect() == [] and drop_exact_copies(no_docs).collect() == []
+
+
+def test_components(spark):
+    rnd = random.Random(2)
+    edges = [(n, n + 1) for n in range(0, 60)] + [(rnd.randint(100, 300), rnd.randint(100, 300)) for _ in range(120)]
+    edges += [(500, n) for n in range(501, 700)] + [(7, 7), (800, 799)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        ra, rb = find(a), find(b)
+        if a != b:
+            parent[max(ra, rb)] = min(ra, rb)
+    got = dict(connected_components(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect())
+    assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
+
+
+def shingles(t, n):
+    words = (t or "").encode().lower().split()
+    k = min(n, len(words))
+    return frozenset(tuple(words[j:j + k]) for j in range(len(words) - k + 1)) if k else frozenset()
+
+
+def brute_components(texts, n, percent):
+    sets = {i: shingles(t, n) for i, t in texts}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for (i, x), (j, y) in combinations(sets.items(), 2):
+        both = len(x & y)
+        if x and y and 100 * both >= percent * (len(x) + len(y) - both):
+            a, b = find(i), find(j)
+            parent[max(a, b)] = min(a, b)
+    return {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def near_texts(seed=4):
+    """Chains and stars of near copies, pairs just at and below a threshold, a passage in many texts."""
+    rnd = random.Random(seed)
+
+    def text(n):
+        return [f"w{rnd.randint(0, 400)}" for _ in range(n)]
+
+    out, passage = [], text(60)
+    for _ in range(12):
+        base = text(rnd.randint(30, 160))
+        out.append(base)
+        for _ in range(rnd.randint(1, 14)):
+            copy = list(rnd.choice([base, out[-1]]))
+            for _ in range(rnd.randint(0, 5)):
+                copy[rnd.randrange(len(copy))] = f"x{rnd.randint(0, 50)}"
+            out.append(copy)
+    out += [passage + text(rnd.randint(5, 80)) for _ in range(40)]
+    out += [text(rnd.randint(1, 4)) for _ in range(30)] + [["a", "b", "c"]] * 3 + [["A", "B", "C"], [], ["a"]]
+    rnd.shuffle(out)
+    return [(k, " ".join(w)) for k, w in enumerate(out)]
+
+
+def test_near_copies_match_brute_force(spark):
+    texts = near_texts()
+    df = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(5)
+    for n, percent in ((3, 90), (5, 80), (1, 60)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_documents(df, n, percent).collect()}
+        assert got == brute_components(texts, n, percent)
+
+
+def test_near_copies_of_odd_rows(odd_docs, odd_rows):
+    rows = similar_documents(odd_docs).collect()
+    assert len(rows) == len(odd_rows)
+    by_id = {r.doc_id: (r.n_shingles, r.component_id) for r in rows}
+    assert by_id[1] == (0, 1) and by_id[2] == (0, 2) and by_id[3] == (0, 3)
+    assert by_id[5] == by_id[4] == (1, 4) and by_id[6] == (1, 6)
+    assert by_id[12][1] == 11 and by_id[7] == (1, 7) and by_id[8] == (1, 8)
+
+
+def test_drop_near_copies(odd_docs, odd_rows):
+    kept = drop_near_copies(odd_docs)
+    assert kept.columns == odd_docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert {5, 12}.isdisjoint(ids) and {1, 2, 3, 4, 6, 8, 11}.issubset(ids) and ids.count(7) == 2
+
+
+def test_near_copies_of_no_rows(no_docs):
+    assert similar_documents(no_docs).collect() == [] and drop_near_copies(no_docs).collect() == []
+
+
+def test_room_tree_finds_the_tightest_bin():
+    rnd = random.Random(1)
+    tree, plain = RoomTree(), []
+    for n in range(3000):
+        if plain and rnd.random() < 0.4:
+            key = plain.pop(rnd.randrange(len(plain)))
+            tree.remove(key)
+        else:
+            key = (rnd.randint(0, 500), n)
+            plain.append(key)
+            tree.insert(key)
+        size = rnd.randint(0, 520)
+        assert tree.tightest(size) == min((k for k in plain if k[0] >= size), default=None)
+
+
+def test_best_fit_decreasing_matches_a_plain_search():
+    rnd = random.Random(3)
+    for _ in range(30):
+        sizes = [rnd.randint(1, 60) for _ in range(rnd.randint(0, 80))]
+        free, want = [], [None] * len(sizes)
+        for n in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
+            fits = [(room, b) for b, room in enumerate(free) if room >= sizes[n]]
+            if fits:
+                b = min(fits)[1]
+            else:
+                b = len(free)
+                free.append(100)
+            free[b] -= sizes[n]
+            want[n] = b
+        assert best_fit_decreasing(sizes, 100) == want
+        if sizes:
+            capacity, bins = least_capacity(sizes, 5)
+            assert max(bins) < 5 and capacity >= max(max(sizes), -(-sum(sizes) // 5))
+
+
+def check_shards(rows, texts, near=None):
+    assert sorted((r.doc_id, r.size, r.text_crc32) for r in rows if r.doc_id is not None) == sorted(
+        (i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in texts if i is not None)
+    assert len(rows) == len(texts) and {r.law for r in rows} <= {"bytes"} and {r.grown_shard for r in rows} <= {None}
+    slots, sizes, shard_of = defaultdict(list), Counter(), defaultdict(set)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+        sizes[r.shard] += r.size
+        shard_of[r.text_crc32, r.size].add(r.shard)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert set(slots) <= set(range(40)) and all(len(s) == 1 for s in shard_of.values())
+    if near:
+        assert max(sizes.values()) <= near * sum(sizes.values()) / 40
+
+
+def test_shards_of_odd_rows(odd_docs, odd_rows):
+    check_shards(shard_documents(odd_docs).collect(), odd_rows)
+
+
+def test_shards_of_the_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    check_shards(shard_documents(docs).collect(), texts, near=2.0)
+
+
+def test_shards_are_near_equal_and_hot_groups_whole(spark):
+    rnd = random.Random(6)
+    texts = [(i, "hot") for i in range(2000)] + [(i, f"{i} " + "x" * rnd.randint(0, 300)) for i in range(2000, 12000)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(6)
+    check_shards(shard_documents(df, together=50).collect(), texts, near=1.02)
+
+
+def test_shards_of_no_rows(no_docs):
+    assert shard_documents(no_docs).collect() == []
