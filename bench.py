@@ -108,7 +108,8 @@ def _wide(spark, sf_dir: str, cpus: int, factor: int) -> dict:
     n_rows = lineitem.count() * factor
     e = export_frame(spark, sf_dir).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(factor))))
     # a sequence for every other row or so: the residues spell a hash
-    number = F.pmod(F.xxhash64("epitope_name", "reference_pmid", "epitope_starting_position", "_copy"), F.lit(n_rows))
+    rest = F.pmod(F.xxhash64("epitope_name", "reference_pmid", "_copy"), F.lit(max(1, n_rows // 400)))
+    number = F.pmod(F.xxhash64("epitope_epitope_iri", "mhc_restriction_name", rest), F.lit(20**6))
     letters = [F.substring(F.lit(RESIDUES), (F.floor(number / 20**k) % 20 + 1).cast("int"), F.lit(1)) for k in range(6)]
     e = e.withColumn("epitope_name", F.concat(F.lit("SL"), *letters, F.lit("V"))).drop("_copy")
     filler = [F.concat_ws(" ", "epitope_source_molecule", F.lit(f"text {k}")).alias(f"assay_note_{k}")
