@@ -90,7 +90,7 @@ def rank_within(df: DataFrame, key: str, parts: DataFrame, order: list[str], nam
         name, F.col("__before") + F.col("__within")).drop("__part", "__within", "__before")
 
 
-def in_text_groups(batches: Iterator[pa.RecordBatch], most: int = 16_000_000) -> Iterator[tuple[list, list[str]]]:
+def in_text_groups(batches: Iterator[pa.RecordBatch], most: int = 6_000_000) -> Iterator[tuple[list, list[str]]]:
     """(ids, texts) of consecutive rows, together about ``most`` code points or one longer text."""
     ids: list = []
     texts: list[str] = []

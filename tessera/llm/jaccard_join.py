@@ -6,8 +6,9 @@ shares one of the leading columns of both, so only those are multiplied; and whe
 stands in both rows bounds what can still be shared. Pairs below the bound that their sizes set are
 discarded, the others get their whole row product.
 
-The product runs twice. First each column multiplies with its leading row only, which links most of
-a large group of near copies through few pairs; then all rows of a column, without pairs that are
+The product runs twice. First each column multiplies with its leading row only, and each row keeps
+the leading row that it meets most often, which links most of a large group of near copies through
+one pair a row; then all rows of a column, without pairs that are
 in one component already or that the bounds exclude. Both together lose no link between components.
 """
 
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import in_text_groups, text_or_empty, written
+from tessera.llm.common import arrow_map, in_text_groups, text_or_empty, written
 from tessera.llm.components import connected_components
 
 #: Cells of the table of shingle frequencies that every task gets (4 bytes each).
@@ -32,21 +33,26 @@ FILTER_BITS = 1 << 25
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, computed when first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
 class Shingler:
     """Sorted 64-bit hashes of a text's distinct n-word shingles; words by ASCII white space, A-Z lowered."""
 
-    def __init__(self, n: int, kept_words: int = 500_000):
+    def __init__(self, n: int, kept_words: int = 300_000):
         self.n, self.kept_words = n, kept_words
-        self.hashes: dict[bytes, int] = {}
+        self.hashes = WordHashes()
 
     def words(self, text: str) -> np.ndarray:
         words = text.encode().lower().split()
         if len(self.hashes) > self.kept_words:
-            self.hashes = {}
-        known = self.hashes
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+            self.hashes = WordHashes()
+        return np.fromiter(map(self.hashes.__getitem__, words), dtype=np.uint64, count=len(words))
 
     def __call__(self, text: str) -> np.ndarray:
         w = self.words(text)
@@ -57,7 +63,9 @@ class Shingler:
         for k in range(n):
             h = (h ^ (h >> np.uint64(31))) * _ODD[0] + w[k:len(w) - n + 1 + k]
         h = (h ^ (h >> np.uint64(29))) * _ODD[1]
-        return np.unique(h ^ (h >> np.uint64(32)))
+        h ^= h >> np.uint64(32)
+        h.sort()
+        return h[np.concatenate(([True], h[1:] != h[:-1]))]
 
 
 def set_digest(grams: np.ndarray) -> bytes:
@@ -103,7 +111,7 @@ def _summaries(docs: DataFrame, n: int) -> DataFrame:
                     [pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.binary()),
                      pa.array(part.astype(np.int32)), pa.array(cells[part])], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, node binary, cell int, n bigint")
+    return arrow_map(docs, run, "doc_id bigint, n_shingles bigint, node binary, cell int, n bigint")
 
 
 def _leading_columns(docs: DataFrame, n: int, percent: int, frequency) -> DataFrame:
@@ -135,7 +143,7 @@ def _leading_columns(docs: DataFrame, n: int, percent: int, frequency) -> DataFr
                      pa.array(np.concatenate(sizes)), pa.array(np.concatenate(positions))],
                     names=["gram", "node", "size", "pos"])
 
-    return docs.mapInArrow(run, "gram bigint, node binary, size int, pos int")
+    return arrow_map(docs, run, "gram bigint, node binary, size int, pos int")
 
 
 def _wanted_texts(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
@@ -161,7 +169,7 @@ def _wanted_texts(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [some.column("doc_id"), pa.array(nodes, pa.binary()), some.column("text")], names=["doc_id", "node", "text"])
 
-    return docs.select("doc_id", "text", cell.alias("cell")).mapInArrow(run, "doc_id bigint, node binary, text string")
+    return arrow_map(docs.select("doc_id", "text", cell.alias("cell")), run, "doc_id bigint, node binary, text string")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
@@ -188,7 +196,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent
             if keep:
                 yield batch.select(["a", "b"]).take(pa.array(keep))
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint").distinct()
+    return arrow_map(both.select("a", "b", "text_a", "text_b"), run, "a bigint, b bigint").distinct()
 
 
 # ------------------------------------------------------------- the product
@@ -221,18 +229,21 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     nodes = written(sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "nodes")
 
     # entries of columns that more than one row has, rows named by their smallest document
-    entries = _leading_columns(docs, n, percent, frequency)
+    entries = written(_leading_columns(docs, n, percent, frequency), "columns")
     shared = entries.select("gram", "node").groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gram")
     entries = entries.join(shared, "gram", "left_semi")
     entries = written(
         entries.join(nodes, "node").groupBy("gram", "rep").agg(F.min("size").alias("size"), F.min("pos").alias("pos")), "entries")
 
     leaders = entries.groupBy("gram").agg(F.min(F.struct("pos", "size", "rep")).alias("lead"), F.count(F.lit(1)).alias("k"))
-    first = entries.join(leaders.where("k > 1"), "gram").where(
+    near_lead = entries.join(leaders.where("k > 1"), "gram").where(
         (F.col("rep") != F.col("lead.rep"))
         & _may_reach(percent, F.col("size"), F.col("pos"), F.col("lead.size"), F.col("lead.pos")))
+    # of the leading rows that a row meets, the one it shares most columns with
+    met = near_lead.groupBy("rep", F.col("lead.rep").alias("lead")).agg(F.count(F.lit(1)).alias("shared"))
+    first = met.groupBy("rep").agg(F.max_by("lead", F.struct("shared", "lead")).alias("lead"))
     first_pairs = written(
-        first.select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b")).distinct(), "pairs")
+        first.select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct(), "pairs")
     links = written(_linked(first_pairs, docs, nodes, n, percent), "links")
     found = connected_components(links, "a", "b")
 
