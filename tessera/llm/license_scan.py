@@ -1,7 +1,8 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-Blocks are runs of words of a line. A block matches a template when it holds at least a given
-share of the template's distinct words. Words are ordered by how many documents of the corpus have
+Blocks are overlapping runs of words of the whole text, and of its lines where those are longer than
+the overlap. A block matches a template when it holds at least a given share of the template's
+distinct words. Words are ordered by how many documents of the corpus have
 them, rare ones first; a matching block has to hold one of a template's first words (prefix
 filter), enough words in all (length filter) and enough words after the first shared one
 (positional filter). What passes is compared word by word.
@@ -47,7 +48,7 @@ TEMPLATES = (
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
 
-#: Blocks have at most BLOCK words; longer lines are cut into blocks that overlap by half.
+#: Blocks have at most BLOCK words, over twice the longest template; longer texts are cut into blocks that overlap by half.
 BLOCK = 64
 CONTAINMENT = 0.85
 
@@ -121,19 +122,24 @@ class LicenseMatcher:
                     found.append((at, label))
         return found
 
-    def blocks(self, text: str) -> Iterator[list[str]]:
-        for line in text.split("\n"):
-            words = lower_words(line)
-            if self.rare.isdisjoint(words):
-                continue
-            for start in range(0, max(1, len(words) - self.block // 2), self.block // 2):
-                yield words[start:start + self.block]
+    def _cut(self, words: list[str]) -> Iterator[list[str]]:
+        for start in range(0, max(1, len(words) - self.block // 2), self.block // 2):
+            yield words[start:start + self.block]
 
-    def templates_in(self, text: str) -> dict[str, float]:
+    def blocks(self, text: str, words: list[str]) -> Iterator[list[str]]:
+        """Of the whole text, whatever its line breaks, and of lines that no block of the text needs to hold whole."""
+        yield from self._cut(words)
+        if "\n" in text and len(words) > self.block:
+            for line in text.split("\n"):
+                # a word and what parts it from the next are two characters at least
+                if len(line) > self.block and len(of_line := lower_words(line)) > self.block // 2:
+                    yield from self._cut(of_line)
+
+    def templates_in(self, text: str, words: list[str]) -> dict[str, float]:
         """Label -> largest share of a template's words that one block holds, if that is enough."""
         best: dict[str, float] = {}
-        for words in self.blocks(text):
-            have = set(words)
+        for block in self.blocks(text, words):
+            have = set(block)
             first: dict[Template, int] = {}
             for word in have & self.rare:
                 for at, template in self.by_word[word]:
@@ -155,7 +161,7 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, contain
     Words are runs of digits, letters and characters beyond ASCII, A-Z lowered. Base places are
     where a phrase's words stand in a row, overlapping ones too; ``first_word`` and ``last_word`` are null
     without any. ``labels`` adds those of templates of which a block holds the share ``containment`` of the
-    distinct words or more. The score is 1 with a base place, else the largest such share, else 0.
+    distinct words or more; notices may be wrapped over lines. The score is 1 with a base place, else the largest such share, else 0.
     Null and empty texts have no words and no labels. Every row is scanned by itself, so repeated
     rows and null ids need no rule; an empty table gives an empty result; extra columns are ignored.
     """
@@ -173,7 +179,7 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, contain
                 words = lower_words(text)
                 places = matcher.base_places(words)
                 base = {label for _, label in places}
-                close = matcher.templates_in(text) if not matcher.rare.isdisjoint(words) else {}
+                close = matcher.templates_in(text, words) if not matcher.rare.isdisjoint(words) else {}
                 starts = [at for at, _ in places]
                 rows.append((doc_id, len(words), len(places), min(starts, default=None), max(starts, default=None),
                              ",".join(sorted(base)), ",".join(sorted(base | set(close))),

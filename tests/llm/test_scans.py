@@ -246,3 +246,26 @@ def test_template_prefixes_hold_a_word_of_every_match():
 
 def test_licenses_of_no_rows(no_docs):
     assert scan_licenses(no_docs).collect() == []
+
+
+def test_wrapped_notices_are_found_at_every_start(spark):
+    texts, want = [], {}
+    width = max(len(lower_words(t)) for _, t in TEMPLATES)
+    for label, template in TEMPLATES:
+        for before in range(0, 100, 3):
+            found = ("z " * before + template + " z" * 90).split()
+            lines = [" ".join(found[k:k + 7]) for k in range(0, len(found), 7)]
+            text = "\n".join(lines)
+            words = lower_words(text)
+            # windows at every start that are as long as the longest template
+            close = {name for name, t in TEMPLATES for at in range(len(words) - width + 1)
+                     if 1000 * len(set(lower_words(t)).intersection(words[at:at + width])) >= 850 * len(set(lower_words(t)))}
+            assert label in close
+            want[len(texts)] = close
+            texts.append((len(texts), text))
+    long_line = ("licensed " + "z " * 15 + "under cc by nc 4 0") * 1
+    texts.append((len(texts), "z\n" * 50 + long_line + "\nz" * 50))
+    want[len(texts) - 1] = {"cc-by-nc"}
+    rows = scan_licenses(spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)).collect()
+    for r in rows:
+        assert want[r.doc_id] <= set(r.labels.split(","))
