@@ -10,6 +10,9 @@ The product runs twice. First each column multiplies with its leading row only,
 the leading row that it meets most often, which links most of a large group of near copies through
 one pair a row; then all rows of a column, without pairs that are
 in one component already or that the bounds exclude. Both together lose no link between components.
+
+All links lie inside components, so they are counted there: the rows of a component are dealt into
+blocks, and each pair of blocks is one product of whole rows that gives every overlap between them.
 """
 
 from __future__ import annotations
@@ -30,6 +33,12 @@ CELLS = 1 << 20
 #: Bits of the filter that finds the texts to compare (4 MB, whatever the input).
 FILTER_BITS = 1 << 25
 
+#: Rows, and shingles, of a component that are one block of the product which counts links.
+TILE_ROWS = 512
+TILE_SHINGLES = 2_000_000
+#: Columns of a dense product.
+DENSE_COLUMNS = 4096
+
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -199,6 +208,100 @@ def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent
     return arrow_map(both.select("a", "b", "text_a", "text_b"), run, "a bigint, b bigint").distinct()
 
 
+# ------------------------------------------------------------- counting links inside components
+
+def overlaps(sets: list[np.ndarray], n_left: int) -> np.ndarray:
+    """How many shingles each of the first ``n_left`` sets shares with each of the others."""
+    m = len(sets)
+    grams = np.concatenate(sets)
+    order = np.argsort(grams, kind="stable")
+    owner = np.repeat(np.arange(m), [len(g) for g in sets])[order]
+    grams = grams[order]
+    starts = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1])))
+    counts = np.diff(np.append(starts, len(grams)))
+    # owners of a column ascend, so its first and last tell whether it is on both sides
+    both = (owner[starts] < n_left) & (owner[starts + counts - 1] >= n_left)
+    starts, counts = starts[both], counts[both]
+    out = np.zeros(m * m, dtype=np.int64)
+    few = counts * 6 < m
+    for c in np.unique(counts[few]):
+        rows = owner[starts[few & (counts == c)][:, None] + np.arange(c)]
+        for k in range(c - 1):
+            out += np.bincount((rows[:, k, None] * m + rows[:, k + 1:]).ravel(), minlength=m * m)
+    out = out.reshape(m, m)[:n_left, n_left:]
+    starts, counts = starts[~few], counts[~few]
+    for at in range(0, len(starts), DENSE_COLUMNS):
+        first, width = starts[at:at + DENSE_COLUMNS], counts[at:at + DENSE_COLUMNS]
+        column = np.repeat(np.arange(len(first)), width)
+        place = np.arange(len(column)) - np.repeat(np.cumsum(width) - width, width) + np.repeat(first, width)
+        dense = np.zeros((m, len(first)), dtype=np.float32)
+        dense[owner[place], column] = 1
+        out = out + (dense[:n_left] @ dense[n_left:].T).astype(np.int64)
+    return out
+
+
+def tile_counts(left: list[tuple], right: list[tuple] | None, percent: int) -> Iterator[tuple[bytes, int]]:
+    """(node, copies of the sets it links with) of (node, copies, shingles); without ``right``, among ``left``."""
+    alone = right is None
+    other = left if alone else right
+    if not left or not other:
+        return
+    shared = overlaps([g for _, _, g in left] + [g for _, _, g in other], len(left))
+    size_l, size_r = (np.array([len(g) for _, _, g in side], dtype=np.int64) for side in (left, other))
+    link = shared * (100 + percent) >= percent * (size_l[:, None] + size_r[None, :])
+    if alone:
+        np.fill_diagonal(link, False)
+    copies_l, copies_r = (np.array([c for _, c, _ in side], dtype=np.int64) for side in (left, other))
+    yield from ((node, int(c)) for (node, _, _), c in zip(left, link @ copies_r, strict=True) if c)
+    if not alone:
+        yield from ((node, int(c)) for (node, _, _), c in zip(other, copies_l @ link, strict=True) if c)
+
+
+def _linked_copies(docs: DataFrame, members: DataFrame, n: int, percent: int, tile_rows: int, tile_shingles: int) -> DataFrame:
+    """(node, linked): copies of all other sets that each set of ``members`` links with, where there are any.
+
+    ``members`` has node, rep, size, copies and component. A component of ``k`` blocks has a tile for
+    each pair of blocks, and for each block with itself; a row goes to ``k`` tiles, so no task holds
+    more than two blocks.
+    """
+    totals = members.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("weight")).where("n > 1").select(
+        "component", F.greatest(F.ceil(F.col("n") / tile_rows), F.ceil(F.col("weight") / tile_shingles)).cast("int").alias("k"))
+    dealt = written(members.join(totals, "component").select(
+        F.col("rep").alias("doc_id"), "node", "copies", "component", "k",
+        F.pmod(F.xxhash64("node"), F.col("k")).cast("int").alias("block")), "blocks")
+    texts = _wanted_texts(docs, n, dealt.select("doc_id")).join(dealt, ["doc_id", "node"])
+    tiles = texts.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select(
+        "component", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "copies", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingler(n)
+        key, sides = None, ({}, {})
+
+        def counted() -> list[tuple[bytes, int]]:
+            left, right = (list(side.values()) for side in sides)
+            return list(tile_counts(left, right if key[1] != key[2] else None, percent)) if key else []
+
+        def batch_of(found: list[tuple[bytes, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x for x, _ in found], pa.binary()), pa.array([c for _, c in found], pa.int64())], names=["node", "linked"])
+
+        for batch in batches:
+            found = []
+            names = [batch.column(c).to_pylist() for c in ("component", "i", "j", "block", "node", "copies")]
+            for component, i, j, block, node, copies, text in zip(*names, batch.column("text"), strict=True):
+                if (component, i, j) != key:
+                    found += counted()
+                    key, sides = (component, i, j), ({}, {})
+                side = sides[block != i]
+                if node not in side:  # rows repeated with their id and text
+                    side[node] = (node, copies, shingle(text.as_py()))
+            yield batch_of(found)
+        yield batch_of(counted())
+
+    dealt_out = tiles.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+    return arrow_map(dealt_out, run, "node binary, linked bigint").groupBy("node").agg(F.sum("linked").alias("linked"))
+
+
 # ------------------------------------------------------------- the product
 
 def _may_reach(percent: int, size_a: Column, pos_a: Column, size_b: Column, pos_b: Column) -> Column:
@@ -207,19 +310,9 @@ def _may_reach(percent: int, size_a: Column, pos_a: Column, size_b: Column, pos_
     return most * (100 + percent) >= (size_a + size_b) * percent
 
 
-def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id.
-
-    Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of n-word
-    shingles; with fewer words the whole sequence is the one shingle. Null, empty and blank texts
-    have no shingles and link with nothing. ``component_id`` is the smallest doc_id reachable by
-    links, the own one included. Shingles are compared by 64-bit and sets by 128-bit hashes. Rows
-    with equal sets are one row of the matrix; documents that share an id count as one. A null id
-    never names a component unless its text has no other. Extra columns are ignored; an empty table
-    gives an empty result.
-    """
+def _components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, node) of every row, and (node, rep, component_id) of every set that an id has."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     both = written(_summaries(docs, n), "sets")
     sets = both.where("cell is null").select("doc_id", "n_shingles", "node")
     counted = both.where("cell is not null").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most CELLS rows
@@ -274,9 +367,35 @@ def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFra
     components = connected_components(links.union(more), "a", "b")
 
     named = nodes.join(components.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "node", F.coalesce("component", "rep").alias("component_id"))
-    return sets.join(named, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "node", "rep", F.coalesce("component", "rep").alias("component_id"))
+    return sets, named
+
+
+def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90, tile_rows: int = TILE_ROWS,
+                      tile_shingles: int = TILE_SHINGLES) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links.
+
+    Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of n-word
+    shingles; with fewer words the whole sequence is the one shingle. Null, empty and blank texts
+    have no shingles and link with nothing. ``component_id`` is the smallest doc_id reachable by
+    links, the own one included. Shingles are compared by 64-bit and sets by 128-bit hashes. Rows
+    with equal sets are one row of the matrix; documents that share an id count as one in components.
+    ``n_links`` is the number of other documents that the row's one links with, copies included; rows
+    repeated with their id and set are one document, an id with several sets is one for each, and rows
+    without an id are not counted: theirs is null. A null id never names a component unless its text
+    has no other. Extra columns are ignored; an empty table gives an empty result.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    sets, named = _components(docs, n, percent)
+    copies = sets.where("node is not null").groupBy("node").agg(
+        F.max("n_shingles").alias("size"), F.countDistinct("doc_id").alias("copies"))
+    members = written(named.join(copies, "node").withColumnRenamed("component_id", "component"), "members")
+    linked = _linked_copies(docs, members, n, percent, tile_rows, tile_shingles)
+    counted = members.join(linked, "node", "left").select(
+        "node", F.col("component").alias("component_id"), (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    return sets.join(counted, "node", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("links", F.lit(0))).cast("long").alias("n_links"))
 
 
 def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -284,7 +403,7 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFram
 
     Documents without shingles stay, and so do rows with a null id. Of rows repeated with their id and text all stay.
     """
-    found = similar_documents(docs, n, percent)
-    gone = found.where("component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct()
+    sets, named = _components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")), n, percent)
+    gone = sets.join(named, "node").where("component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct()
     rows = docs.select(F.col("doc_id").cast("long").alias("__id"), F.struct("*").alias("__row"))
     return rows.join(gone, F.col("__id") == F.col("__gone"), "left_anti").select("__row.*")

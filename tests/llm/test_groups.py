@@ -225,3 +225,39 @@ def test_shards_are_near_equal_and_hot_groups_whole(spark):
 
 def test_shards_of_no_rows(no_docs):
     assert shard_documents(no_docs).collect() == []
+
+
+def brute_links(texts, n, percent):
+    sets = {i: shingles(t, n) for i, t in texts}
+    found = dict.fromkeys(sets, 0)
+    for (i, x), (j, y) in combinations(sets.items(), 2):
+        both = len(x & y)
+        if x and y and 100 * both >= percent * (len(x) + len(y) - both):
+            found[i] += 1
+            found[j] += 1
+    return found
+
+
+def test_links_of_every_document_match_brute_force(spark):
+    texts = near_texts()
+    rnd = random.Random(12)
+    base = [f"f{k}" for k in range(90)]
+    family = []  # a large family of near copies, some of them exact ones
+    for _ in range(90):
+        copy = list(base)
+        for _ in range(rnd.randint(0, 3)):
+            copy[rnd.randrange(len(copy))] = f"y{rnd.randint(0, 9)}"
+        family.append(" ".join(copy))
+    texts += [(1000 + k, t) for k, t in enumerate(family + family[:20])]
+    again = texts + texts[::9]  # rows repeated with their id and text are one document
+    df = spark.createDataFrame(again, "doc_id bigint, text string").repartition(5)
+    for n, percent, rows in ((3, 90, 512), (5, 80, 7), (1, 60, 20)):
+        got = similar_documents(df, n, percent, tile_rows=rows).collect()
+        assert len(got) == len(again)
+        want = brute_links(texts, n, percent)
+        assert {(r.doc_id, r.n_links) for r in got} == set(want.items()) and max(want.values()) > 20
+
+
+def test_links_of_odd_rows(odd_docs):
+    links = {(r.doc_id, r.n_links) for r in similar_documents(odd_docs).collect()}
+    assert {(None, None), (1, 0), (2, 0), (3, 0), (4, 1), (5, 1), (6, 0), (7, 0), (11, 1), (12, 1)} <= links
