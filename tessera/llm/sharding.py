@@ -117,12 +117,33 @@ def least_capacity(sizes: list[int], n_bins: int, steps: int = 16) -> tuple[int,
     return high, best
 
 
+def spread(sizes: list[int], n_bins: int) -> list[int]:
+    """Bin of each item: those above an equal share get a bin of their own, the others the remaining bins.
+
+    What is left then has a smaller share, so this repeats until no item is above it; best fit packs
+    the rest with a capacity of its own.
+    """
+    bins, rest, left = [0] * len(sizes), sum(sizes), n_bins
+    order = sorted(range(len(sizes)), key=lambda k: -sizes[k])
+    alone = 0
+    while left > 1 and alone < len(order) and sizes[order[alone]] * left > rest:
+        bins[order[alone]] = alone
+        rest -= sizes[order[alone]]
+        alone, left = alone + 1, left - 1
+    others = sorted(order[alone:])
+    _, packed = least_capacity([sizes[k] for k in others], left)
+    for k, place in zip(others, packed, strict=True):
+        bins[k] = alone + place
+    return bins
+
+
 def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, parts: int = PARTS,
                     together: int = RANKED_TOGETHER) -> DataFrame:
     """Per row: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
-    The law is ``bytes``: shard sizes near equal, groups of equal texts undivided. The capacity is
-    the least with which best fit needs no more than ``n_shards``. A null text counts as empty and
+    The law is ``bytes``: shard sizes near equal, groups of equal texts undivided. A group above an
+    equal share has a shard of its own; for the others the capacity is the least with which best fit
+    needs no more than the remaining shards. A null text counts as empty and
     weighs 16 bytes. Rows of one shard are numbered without gaps from 0; repeated rows get slots of
     their own. An empty table gives an empty result; extra columns are ignored. ``grown_shard`` is
     null under this law.
@@ -141,7 +162,7 @@ def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, parts: int = PART
     rows = rows.join(F.broadcast(named), "content", "left").withColumn(
         "unit", F.coalesce("heavy", F.pmod(F.xxhash64("content"), F.lit(n_bundles)))).drop("heavy", "content")
     units = sorted(tuple(r) for r in rows.groupBy("unit").agg(F.sum("size"), F.count(F.lit(1))).collect())
-    _, bins = least_capacity([size for _, size, _ in units], n_shards)
+    bins = spread([size for _, size, _ in units], n_shards)
     filled = [0] * n_shards
     plan = []
     for (unit, _, n), shard in zip(units, bins, strict=True):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tessera.llm.components import connected_components
 from tessera.llm.exact_dedup import drop_exact_copies, exact_dedup
 from tessera.llm.jaccard_join import drop_near_copies, similar_documents
-from tessera.llm.sharding import RoomTree, best_fit_decreasing, least_capacity, shard_documents
+from tessera.llm.sharding import RoomTree, best_fit_decreasing, least_capacity, shard_documents, spread
 
 
 def normal(t):
@@ -261,3 +261,27 @@ def test_links_of_every_document_match_brute_force(spark):
 def test_links_of_odd_rows(odd_docs):
     links = {(r.doc_id, r.n_links) for r in similar_documents(odd_docs).collect()}
     assert {(None, None), (1, 0), (2, 0), (3, 0), (4, 1), (5, 1), (6, 0), (7, 0), (11, 1), (12, 1)} <= links
+
+
+def test_shards_beside_groups_above_an_equal_share(spark):
+    rnd = random.Random(8)
+    texts = [(i, f"{i} " + "x" * rnd.randint(0, 300)) for i in range(10_000)]
+    spread_bytes = sum(len(t) + 16 for _, t in texts)
+    hot = "h" * 184
+    # a third and a tenth of all bytes, and a group that exceeds an equal share of what these leave only
+    for k, share in (("a", 0.59), ("b", 0.18), ("c", 0.028)):
+        texts += [(len(texts) + j, k + hot[1:]) for j in range(int(share * spread_bytes / 200))]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(6)
+    rows = shard_documents(df, together=500).collect()
+    check_shards(rows, texts)
+    of_hot = {r.shard for r in rows if texts[r.doc_id][1][1:] == hot[1:]}
+    sizes = Counter()
+    for r in rows:
+        sizes[r.shard] += r.size
+    others = [sizes[k] for k in range(40) if k not in of_hot]
+    assert len(of_hot) == 3 and len(others) == 37
+    assert sum(others) == spread_bytes and max(others) <= 1.02 * spread_bytes / 37 and min(others) >= 0.9 * spread_bytes / 37
+
+
+def test_spread_of_few_and_of_no_items():
+    assert spread([], 4) == [] and sorted(spread([5, 9], 4)) == [0, 1] and spread([5, 9], 1) == [0, 0]
