@@ -65,6 +65,7 @@ class Template:
     label: str
     words: tuple[str, ...]  # distinct, rarest in the corpus first
     needed: int
+    length: int  # words of the notice, repeated ones too
 
     @property
     def prefix(self) -> tuple[str, ...]:
@@ -75,8 +76,9 @@ class Template:
 def order_templates(templates, documents_with: dict[str, int], containment: float = CONTAINMENT) -> list[Template]:
     out = []
     for label, text in templates:
-        distinct = sorted(set(lower_words(text)), key=lambda w: (documents_with.get(w, 0), w))
-        out.append(Template(label, tuple(distinct), -(-round(containment * 1000) * len(distinct) // 1000)))
+        words = lower_words(text)
+        distinct = sorted(set(words), key=lambda w: (documents_with.get(w, 0), w))
+        out.append(Template(label, tuple(distinct), -(-round(containment * 1000) * len(distinct) // 1000), len(words)))
     return out
 
 
@@ -135,15 +137,58 @@ class LicenseMatcher:
                 if len(line) > self.block and len(of_line := lower_words(line)) > self.block // 2:
                     yield from self._cut(of_line)
 
-    def templates_in(self, text: str, words: list[str]) -> dict[str, float]:
-        """Label -> largest share of a template's words that one block holds, if that is enough."""
+    @staticmethod
+    def _explained(words: list[str], templates: list[Template]) -> set[Template]:
+        """Those of ``templates`` whose shared words another label's shares too, with a larger share or more of them."""
+        have = set(words)
+        shared = {t: have.intersection(t.words) for t in templates}
+
+        def rank(t: Template) -> tuple[float, int]:
+            return len(shared[t]) / len(t.words), len(shared[t])
+
+        return {t for t in templates for other in templates
+                if other.label != t.label and shared[t] <= shared[other] and rank(other) > rank(t)}
+
+    def nearest_labels(self, block: list[str], matched: list[Template]) -> set[str]:
+        """Labels of the block's notices, without those that match only as relatives of another.
+
+        Several notices can stand in one block, so matches are looked at where they stand, in runs of a
+        notice's length: the largest share comes first, then what overlaps least with runs that came
+        before, then the most words; a run counts unless half of it or more lies in those. A match
+        without such a run, its words being scattered, counts unless another explains it in the whole block.
+        """
+        if len({t.label for t in matched}) < 2:
+            return {t.label for t in matched}
+        runs, scattered = [], []
+        for t in matched:
+            here = []
+            for start in range(max(1, len(block) - t.length + 1)):
+                shared = len(set(block[start:start + t.length]).intersection(t.words))
+                if shared >= t.needed:
+                    here.append((shared / len(t.words), shared, set(range(start, min(start + t.length, len(block)))), t.label))
+            runs += here
+            if not here:
+                scattered.append(t)
+        out, covered = set(), set()
+        while runs := [r for r in runs if 2 * len(covered & r[2]) < len(r[2])]:
+            _, _, places, label = max(runs, key=lambda r: (r[0], -len(covered & r[2]), r[1], r[3]))
+            out.add(label)
+            covered |= places
+        if scattered:
+            out |= {t.label for t in set(scattered) - self._explained(block, matched)}
+        return out
+
+    def templates_in(self, text: str, words: list[str]) -> tuple[dict[str, float], set[str]]:
+        """Label -> largest share of a template's words that one block holds, if that is enough; the nearest labels."""
         best: dict[str, float] = {}
+        nearest: set[str] = set()
         for block in self.blocks(text, words):
             have = set(block)
             first: dict[Template, int] = {}
             for word in have & self.rare:
                 for at, template in self.by_word[word]:
                     first[template] = min(at, first.get(template, at))
+            matched = []
             for template, at in first.items():
                 size = len(template.words)
                 # length filter, then positional: words before the first shared one are missing
@@ -152,16 +197,20 @@ class LicenseMatcher:
                 shared = sum(w in have for w in template.words)
                 if shared >= template.needed:
                     best[template.label] = max(best.get(template.label, 0.0), shared / size)
-        return best
+                    matched.append(template)
+            nearest |= self.nearest_labels(block, matched)
+        return best, nearest
 
 
 def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, containment: float = CONTAINMENT, block: int = BLOCK) -> DataFrame:
-    """Per row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
+    """Per row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, nearest_labels.
 
     Words are runs of digits, letters and characters beyond ASCII, A-Z lowered. Base places are
     where a phrase's words stand in a row, overlapping ones too; ``first_word`` and ``last_word`` are null
     without any. ``labels`` adds those of templates of which a block holds the share ``containment`` of the
-    distinct words or more; notices may be wrapped over lines. The score is 1 with a base place, else the largest such share, else 0.
+    distinct words or more; notices may be wrapped over lines. These are candidates: relatives such as the Creative Commons
+    notices match each other. ``nearest_labels`` has the base labels and, of each block's matches, those that
+    stand where no other label's template has a larger share. The score is 1 with a base place, else the largest such share, else 0.
     Null and empty texts have no words and no labels. Every row is scanned by itself, so repeated
     rows and null ids need no rule; an empty table gives an empty result; extra columns are ignored.
     """
@@ -172,19 +221,20 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, contain
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = LicenseMatcher(phrases, ordered, block)
         schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()),
-                            ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64())])
+                            ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()),
+                            ("nearest_labels", pa.string())])
         for ids, texts in in_text_groups(batches, most=4_000_000):
             rows = []
             for doc_id, text in zip(ids, texts, strict=True):
                 words = lower_words(text)
                 places = matcher.base_places(words)
                 base = {label for _, label in places}
-                close = matcher.templates_in(text, words) if not matcher.rare.isdisjoint(words) else {}
+                close, nearest = matcher.templates_in(text, words) if not matcher.rare.isdisjoint(words) else ({}, set())
                 starts = [at for at, _ in places]
                 rows.append((doc_id, len(words), len(places), min(starts, default=None), max(starts, default=None),
                              ",".join(sorted(base)), ",".join(sorted(base | set(close))),
-                             1.0 if base else max(close.values(), default=0.0)))
+                             1.0 if base else max(close.values(), default=0.0), ",".join(sorted(base | nearest))))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     return arrow_map(docs, run, "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
-                                "base_labels string, labels string, score double")
+                                "base_labels string, labels string, score double, nearest_labels string")

@@ -269,3 +269,19 @@ def test_wrapped_notices_are_found_at_every_start(spark):
     rows = scan_licenses(spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)).collect()
     for r in rows:
         assert want[r.doc_id] <= set(r.labels.split(","))
+
+
+def test_relatives_of_a_notice_are_told_apart(spark):
+    of = defaultdict(list)
+    for label, template in TEMPLATES:
+        of[label].append(template)
+    by, nc, sa = of["cc-by"][0], of["cc-by-nc"][1], of["cc-by-sa"][0]
+    cases = [(t, {label}) for label, t in TEMPLATES]
+    cases += [("some words before. " + t.replace(" ", "\n") + " and words after", {label}) for label, t in TEMPLATES]
+    cases += [(f"{by}. {nc}", {"cc-by", "cc-by-nc"}), (f"{sa}; {by}", {"cc-by", "cc-by-sa"}), (f"{nc} {sa}", {"cc-by-nc", "cc-by-sa"}),
+              (f"For noncommercial use write to us. {by}.", {"cc-by"}), (by.replace("International ", ""), {"cc-by"}),
+              (nc.replace("International ", ""), {"cc-by-nc"}), (f"{of['mit'][1]} {of['bsd'][0]}", {"mit", "bsd"})]
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "doc_id bigint, text string")
+    for r in scan_licenses(docs).collect():
+        assert set(r.nearest_labels.split(",")) == cases[r.doc_id][1], cases[r.doc_id]
+        assert set(r.nearest_labels.split(",")) <= set(r.labels.split(","))
