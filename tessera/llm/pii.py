@@ -27,11 +27,11 @@ _PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}|(?<=0))"
-#: A token with a digit, seen from its first character.
-_TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+#: A token with a digit or an @, seen from its first character; every fixed pattern's match has one of them.
+_TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 
 SPAN = "array<struct<kind:int,start:int,end:int>>"
-MENTION = "array<struct<start:int,end:int,token:string,left:string>>"
+MENTION = "array<struct<start:int,end:int,token:string,left:string,right:string>>"
 
 ROUNDS = 3
 #: A pattern counts once it holds this many different seeds, a token once its score reaches CONFIDENT.
@@ -88,15 +88,29 @@ def _base_spans(text: Column, kind: str, matches: Column) -> Column:
 
 
 def _mentions(text: Column, matches: Column) -> Column:
-    def mention(m: Column) -> Column:
-        # without quotes and punctuation around it
-        inner = F.regexp_replace(m["match"], r"^[^\p{L}\p{N}+(]++", "")
-        start = m["start"] + F.char_length(m["match"]) - F.char_length(inner)
-        token = F.regexp_extract(inner, r"^.*[\p{L}\p{N})]", 0)
-        left = F.lower(F.substring_index(F.rtrim(F.regexp_replace(m["before"], r"[\x09-\x0D]", " ")), " ", -1))
-        return F.struct(start.alias("start"), (start + F.char_length(token)).alias("end"), token.alias("token"), left.alias("left"))
+    def spaced(between: Column) -> Column:
+        return F.trim(F.regexp_replace(between, r"[\x09-\x0D]", " "))
+
+    def beside(words: Column, count: int, neighbour: Column) -> Column:
+        """The nearest word of what lies between, or the neighbouring token when no word does."""
+        word = F.substring_index(words, " ", count)
+        return F.lower(F.when(word != "", word).otherwise(F.coalesce(neighbour, F.lit(""))))
+
+    def all_of(places: Column) -> Column:
+        def mention(m: Column, i: Column) -> Column:
+            # without quotes and punctuation around it
+            inner = F.regexp_replace(m["match"], r"^[^\p{L}\p{N}+(]++", "")
+            start = m["start"] + F.char_length(m["match"]) - F.char_length(inner)
+            token = F.regexp_extract(inner, r"^.*[\p{L}\p{N})]", 0)
+            after = F.coalesce(F.get(places, i + 1)["before"], F.substring(text, m["end"] + 1, F.char_length(text)))
+            return F.struct(
+                start.alias("start"), (start + F.char_length(token)).alias("end"), token.alias("token"),
+                beside(spaced(m["before"]), -1, F.get(matches, i - 1)).alias("left"),
+                beside(spaced(after), 1, F.get(matches, i + 1)).alias("right"))
+
+        return F.transform(places, mention)
 
-    return F.when(F.size(matches) == 0, F.array().cast(MENTION)).otherwise(F.transform(_places(text, _TOKEN, matches), mention))
+    return F.when(F.size(matches) == 0, F.array().cast(MENTION)).otherwise(let(_places(text, _TOKEN, matches), all_of))
 
 
 def _read_texts(docs: DataFrame) -> DataFrame:
@@ -108,7 +122,7 @@ def _read_texts(docs: DataFrame) -> DataFrame:
         found = found.withColumn(kind, F.when(
             may_be, F.regexp_extract_all("text", F.lit(_PATTERNS[kind]), F.lit(0))).otherwise(F.array().cast("array<string>")))
     found = found.withColumn("tokens", F.when(
-        F.col("text").rlike("[0-9]"), F.regexp_extract_all("text", F.lit(_TOKEN), F.lit(0))).otherwise(F.array().cast("array<string>")))
+        F.col("text").rlike("[0-9@]"), F.regexp_extract_all("text", F.lit(_TOKEN), F.lit(0))).otherwise(F.array().cast("array<string>")))
     text = F.col("text")
     return found.select(
         row_key("doc_id", "text").alias("key"), "doc_id",
@@ -142,7 +156,8 @@ def _coarse_shape(token: Column) -> Column:
 def discovered_spans(read: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, confident: float = CONFIDENT) -> DataFrame:
     """(key, kind, start, end) of tokens that no fixed pattern accepts and confident patterns point to.
 
-    A token's patterns are its shape, and the word before it with a coarser shape. A pattern's score
+    Tokens are those with a digit or an @. A token's patterns are its shape, and the word before it and
+    the word after it, each with a coarser shape. A pattern's score
     is the mean score of its distinct tokens, one of score 0 added, and 0 below ``min_seeds``
     seeds; a token's is the best of its patterns', and 1 for seeds. A span's kind is the
     kind that most seeds of its best pattern have.
@@ -153,7 +168,8 @@ def discovered_spans(read: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN
     seen = seen.where("token != ''").distinct()
     with_patterns = seen.withColumn("pattern", F.explode(F.array(
         F.concat(F.lit("shape "), _shape(F.col("token"))),
-        F.concat(F.lit("after "), F.regexp_replace("left", "[0-9]", "9"), F.lit(" "), _coarse_shape(F.col("token"))))))
+        *[F.concat(F.lit(name), F.regexp_replace(side, "[0-9]", "9"), F.lit(" "), _coarse_shape(F.col("token")))
+          for name, side in (("after ", "left"), ("before ", "right"))])))
     edges = written(with_patterns.groupBy("pattern", "token").agg(F.max("seed").alias("seed")), "pattern-edges")
 
     of_pattern = edges.where("seed is not null").groupBy("pattern", "seed").agg(F.count(F.lit(1)).alias("n")).groupBy("pattern").agg(

@@ -285,3 +285,25 @@ def test_relatives_of_a_notice_are_told_apart(spark):
     for r in scan_licenses(docs).collect():
         assert set(r.nearest_labels.split(",")) == cases[r.doc_id][1], cases[r.doc_id]
         assert set(r.nearest_labels.split(",")) <= set(r.labels.split(","))
+
+
+def letters(k):
+    return "".join(chr(97 + k // 26**j % 26) for j in range(3))
+
+
+def test_emails_without_a_digit_are_seeds(spark):
+    seeds = [(k, f"write to anna{letters(k)}.bell@corp.org and wait") for k in range(60)]
+    other = [(1000, "see jane.doe@bücher.org here"), (1001, "see jane.doe here")]
+    rows = {r.doc_id: r for r in find_personal_data(spark.createDataFrame(seeds + other, "doc_id bigint, text string")).collect()}
+    assert all(rows[k].n_email == 1 for k in range(60))
+    assert rows[1000].n_email == 0 and rows[1000].spans == "email:4:23"
+    assert rows[1001].spans == ""
+
+
+def test_contexts_stand_on_both_sides_and_may_hold_digits(spark):
+    # each seed has another word on one side; the candidate has their coarser shape only
+    for form, at in (("{other} {token} answers", 5), ("{other} {token}\nno9", 5), ("no9 {token} {other}", 4)):
+        seeds = [(k, form.format(other=f"q{letters(k)}", token=f"{letters(k)}{k % 10}@corp.org")) for k in range(60)]
+        docs = spark.createDataFrame([*seeds, (1000, form.format(other="call", token="bob22@bücher.org"))], "doc_id bigint, text string")
+        rows = {r.doc_id: r for r in find_personal_data(docs).collect()}
+        assert rows[1000].n_email == 0 and rows[1000].spans == f"email:{at}:{at + 16}"
