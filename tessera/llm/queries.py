@@ -18,6 +18,7 @@ from tessera.llm.quality_classifier import classify_quality
 from tessera.llm.quality_rules import quality_rules
 from tessera.llm.sharding import shard_documents
 from tessera.llm.token_counts import token_counts
+from tessera.llm.word_bpe import word_bpe_round_trip
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +62,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(read_table(spark, sf_dir, "documents"))
 
 
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe_round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_pii": op10_pii,
+    "op13_word_bpe": op13_word_bpe,
 }
 
 ORACLES: dict[str, str] = {
