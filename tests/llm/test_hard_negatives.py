@@ -41,10 +41,10 @@ def mine(spark, rows, parts=3):
     return found(mine_hard_negatives(table(spark, rows, parts), F.col("vec_id") % 10 == 0))
 
 
-def vectors(n, seed=1, dims=16, labels=4, centres=6):
+def vectors(n, seed=1, dims=16, labels=4, centres=6, spread=0.05):
     rnd = random.Random(seed)
     middle = [[rnd.gauss(0, 0.3) for _ in range(dims)] for _ in range(centres)]
-    return [(i, [c + rnd.gauss(0, 0.05) for c in rnd.choice(middle)], rnd.randrange(labels)) for i in range(n)]
+    return [(i, [c + rnd.gauss(0, spread) for c in rnd.choice(middle)], rnd.randrange(labels)) for i in range(n)]
 
 
 def test_equals_the_plain_version(spark):
@@ -110,7 +110,7 @@ def test_bounds_hold_for_every_row_of_a_zone():
 
 def test_blocks_that_cannot_meet_a_window_are_not_read(spark, monkeypatch):
     monkeypatch.setattr(hn, "BLOCK", 32)
-    rows = vectors(1500, seed=6, dims=8, labels=2, centres=30)
+    rows = vectors(1500, seed=6, dims=8, labels=2, centres=30, spread=0.01)
     read = []
     chosen = hn._chosen
 
@@ -123,7 +123,8 @@ def test_blocks_that_cannot_meet_a_window_are_not_read(spark, monkeypatch):
     monkeypatch.setattr(hn, "ANCHORS", 4)
     got = mine(spark, rows)
     assert got == plain(rows)
-    assert read[0][0] < 0.35 * read[0][1] and read[1][0] < 0.35 * read[1][1]
+    # half of the blocks have the right label; of those, most cannot meet a window
+    assert read[0][0] < 0.25 * read[0][1] and read[1][0] < 0.25 * read[1][1], read
 
 
 def test_first_of_each():
