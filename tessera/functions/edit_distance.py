@@ -15,13 +15,13 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 
 def dl_distance(a: str, b: str) -> int:
-    """Unrestricted Damerau-Levenshtein distance (Lowrance-Wagner recurrence)."""
+    """Unrestricted Damerau-Levenshtein distance of one pair (Lowrance-Wagner recurrence)."""
     if a == b:
         return 0
     la, lb = len(a), len(b)
@@ -129,12 +129,76 @@ def dl_within(a: list[str], b: list[str], k: int) -> np.ndarray:
     return result
 
 
+#: Cells of all tables that are filled together, and the fewest pairs for which that pays.
+TABLE_CELLS, FEWEST_TOGETHER = 4_000_000, 16
+
+
+def _codes(texts: list[str], longest: int, pad: int, letters: dict[str, int]) -> np.ndarray:
+    """Texts as rows of letter numbers, ``pad`` behind their ends; new letters are added to ``letters``."""
+    out = np.full((len(texts), longest), pad, dtype=np.int32)
+    for row, text in enumerate(texts):
+        out[row, :len(text)] = [letters.setdefault(c, len(letters)) for c in text]
+    return out
+
+
+def _filled_together(a: list[str], b: list[str]) -> np.ndarray:
+    """Distances of the pairs ``(a[n], b[n])``: the recurrence of :func:`dl_distance`, one cell of every table at a time."""
+    n = len(a)
+    la, lb = np.fromiter(map(len, a), np.int32, n), np.fromiter(map(len, b), np.int32, n)
+    letters: dict[str, int] = {}
+    long_a, long_b = int(la.max()), int(lb.max())
+    ca, cb = _codes(a, long_a, -2, letters), _codes(b, long_b, -1, letters)  # pads are the last two letters
+    pairs = np.arange(n)
+    d = np.empty((long_a + 2, long_b + 2, n), dtype=np.int32)
+    d[0], d[:, 0] = long_a + long_b, long_a + long_b
+    d[1:, 1] = np.arange(long_a + 1)[:, None]
+    d[1, 1:] = np.arange(long_b + 1)[:, None]
+    last_row = np.zeros((n, len(letters) + 2), dtype=np.int32)
+    for i in range(1, long_a + 1):
+        x = ca[:, i - 1]
+        last_col = np.zeros(n, dtype=np.int32)
+        for j in range(1, long_b + 1):
+            y = cb[:, j - 1]
+            k, l, same = last_row[pairs, y], last_col, x == y
+            swapped = d[k, l, pairs] + (i - k) + (j - l - 1)
+            best = np.minimum(d[i, j] + ~same, np.minimum(d[i + 1, j], d[i, j + 1]) + 1)
+            d[i + 1, j + 1] = np.minimum(best, swapped)
+            last_col = np.where(same, j, last_col).astype(np.int32)
+        last_row[pairs, x] = i
+    return d[la + 1, lb + 1, pairs]
+
+
+def dl_distances(a: list[str], b: list[str]) -> np.ndarray:
+    """Distances of the pairs ``(a[n], b[n])``; a pair that repeats is computed once.
+
+    Pairs of like lengths fill their tables together, in groups of bounded memory; where few are left, as for
+    very long texts, each goes by itself.
+    """
+    distinct = sorted(set(zip(a, b)), key=lambda p: (len(p[0]), len(p[1])))
+    found: dict[tuple[str, str], int] = {}
+    start = 0
+    while start < len(distinct):
+        cells, stop, long_b = 0, start, 0
+        while stop < len(distinct):
+            long_b = max(long_b, len(distinct[stop][1]))
+            cells = (len(distinct[stop][0]) + 2) * (long_b + 2) * (stop + 1 - start)
+            if cells > TABLE_CELLS and stop > start:
+                break
+            stop += 1
+        group = distinct[start:stop]
+        if len(group) < FEWEST_TOGETHER:
+            found.update((p, dl_distance(*p)) for p in group)
+        else:
+            found.update(zip(group, _filled_together([p[0] for p in group], [p[1] for p in group]).tolist()))
+        start = stop
+    return np.fromiter(map(found.__getitem__, zip(a, b)), np.int32, len(a))
+
+
 def _dl_series(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = [
-        None if (x is None or y is None or x is pd.NA or y is pd.NA) else dl_distance(x, y)
-        for x, y in zip(a.tolist(), b.tolist())
-    ]
-    return pd.Series(out, dtype="Int32")
+    known = (a.notna() & b.notna()).to_numpy()
+    out = np.zeros(len(a), dtype=np.int32)
+    out[known] = dl_distances(a[known].tolist(), b[known].tolist())
+    return pd.Series(out, dtype="Int32").mask(~known)
 
 
 # Marked non-deterministic so the optimizer never duplicates the Python call:
@@ -163,6 +227,11 @@ def damerau_levenshtein(a: Column | str, b: Column | str) -> Column:
     return _dl_udf(ca, cb)
 
 
+def register_sql_functions(spark: SparkSession) -> None:
+    """Make ``damerau_levenshtein(a, b)`` callable in the session's SQL (null when either side is null)."""
+    spark.udf.register("damerau_levenshtein", F.pandas_udf(_dl_series, IntegerType()))
+
+
 def within_prefilter(a: Column | str, b: Column | str, k: int) -> Column:
     """JVM-side necessary condition for ``DL(a, b) <= k``.
 

@@ -171,6 +171,20 @@ def q_fuzzy_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("sequence", "mhc_allele", "uniprot_id", "source_molecule", "distance")
 
 
+SWEEP_SQL = f"""SELECT sequence, mhc_allele, uniprot_id, source_molecule,
+       damerau_levenshtein(sequence, '{SWEEP_QUERY}') AS distance
+FROM read_parquet('{{path}}')
+WHERE peptide_length = {SWEEP_LENGTH}
+  AND damerau_levenshtein(sequence, '{SWEEP_QUERY}') <= {MAX_DISTANCE};"""
+
+
+def q_fuzzy_sweep_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the same sweep as a SQL statement over the written table, by its path
+    path = scratch_path(spark, "reduced-for-sql")
+    write_parquet(reduced_table(spark, sf_dir), path)
+    return sql_over_files(spark, SWEEP_SQL.format(path=path))
+
+
 def q_fuzzy_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = read_table(spark, sf_dir, "part").select(clean_sequence(F.upper("p_name")).alias("query"))
     r = reduced_table(spark, sf_dir).select("sequence", "iedb_epitope_id", "mhc_allele", "n_assays")
@@ -212,6 +226,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exact_lookup": q_exact_lookup,
     "sorted_table_lookup": q_sorted_table_lookup,
     "fuzzy_sweep": q_fuzzy_sweep,
+    "fuzzy_sweep_sql": q_fuzzy_sweep_sql,
     "fuzzy_join": q_fuzzy_join,
     "quality_checks": q_quality_checks,
     "slug_values": q_slug_values,
@@ -302,6 +317,11 @@ FROM r WHERE peptide_length = {SWEEP_LENGTH} AND damerau_levenshtein(sequence, '
 FROM (SELECT DISTINCT regexp_replace(split_part(upper(p_name), ' + ', 1), '\\s+', '', 'g') AS query FROM part) q
 JOIN r ON abs(length(q.query) - length(r.sequence)) <= {MAX_DISTANCE}
 WHERE damerau_levenshtein(q.query, r.sequence) <= {MAX_DISTANCE}"""
+    ),
+    "fuzzy_sweep_sql": with_reduced(
+        f"""SELECT sequence, mhc_allele, uniprot_id, source_molecule,
+       damerau_levenshtein(sequence, '{SWEEP_QUERY}')::int AS distance
+FROM r WHERE peptide_length = {SWEEP_LENGTH} AND damerau_levenshtein(sequence, '{SWEEP_QUERY}') <= {MAX_DISTANCE}"""
     ),
     "quality_checks": with_reduced(
         """SELECT 'grain_unique' AS "check", sum(n)::bigint AS n_rows, coalesce(sum(n - 1) FILTER (WHERE n > 1), 0)::bigint AS n_violations
