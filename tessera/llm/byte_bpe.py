@@ -80,10 +80,11 @@ class PerfectHash:
 class ByteBpe:
     """Encoder and decoder of one vocabulary of ranks."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo_limit: int = 600_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo_limit: int = 300_000):
         import regex
 
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.old_memo: dict[str, tuple[int, ...]] = {}
         self.memo_limit = memo_limit
         self.ranks = ranks
         self.whole = PerfectHash(ranks)
@@ -122,15 +123,17 @@ class ByteBpe:
         return out
 
     def encode_part(self, part: str) -> tuple[int, ...]:
-        """Ids of one pre-token, kept for the next time; the memo is emptied when full."""
+        """Ids of one pre-token, kept for the next time; a full memo becomes the old one, which the next replaces."""
         ids = self.memo.get(part)
         if ids is None:
-            token = part.encode()
-            found = self.whole.get(token)
-            ids = tuple(self.merge(token)) if found is None else (found,)
+            ids = self.old_memo.get(part)
+            if ids is None:
+                token = part.encode()
+                found = self.whole.get(token)
+                ids = tuple(self.merge(token)) if found is None else (found,)
             if len(part) <= 48:
                 if len(self.memo) >= self.memo_limit:
-                    self.memo.clear()
+                    self.memo, self.old_memo = {}, self.memo
                 self.memo[part] = ids
         return ids
 
@@ -157,6 +160,22 @@ def load_bpe(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(ranks, pattern)
 
 
+@lru_cache(maxsize=2)
+def digest_parts(path: str, pattern: str) -> SegmentCache:
+    """Per segment: number of ids, their decimal names and their decoding. Kept by the worker process."""
+    bpe = load_bpe(path, pattern)
+    name_of = [str(n) for n in range(max(bpe.bytes_of) + 1)]
+
+    def values(found: list[str]) -> list[tuple[int, str, bytes]]:
+        out = []
+        for s in found:
+            ids = bpe.encode(s)
+            out.append((len(ids), ",".join([name_of[i] for i in ids]), bpe.decode(ids)))
+        return out
+
+    return SegmentCache(values, limit=200_000)
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Per row of ``docs``: doc_id, ids (array of int) of the whole text. Null texts have no ids."""
 
@@ -206,17 +225,7 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """
 
     def make():
-        bpe = load_bpe(ranks_path, pattern)
-        name_of = [str(n) for n in range(max(bpe.bytes_of) + 1)]
-
-        def values(found: list[str]) -> list[tuple[int, str, bytes]]:
-            out = []
-            for s in found:
-                ids = bpe.encode(s)
-                out.append((len(ids), ",".join([name_of[i] for i in ids]), bpe.decode(ids)))
-            return out
-
-        cache = SegmentCache(values, limit=200_000)
+        cache = digest_parts(ranks_path, pattern)
         cut = segments if never_joins_over_space(pattern) else lambda t: [t]
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -98,6 +98,11 @@ def encoders(path: str):
              and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix")))
     if not alike:
         return exact, None
+    # the quicker one merges in the order of the ids
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    merged = [model["vocab"][a + b] for a, b in merges]
+    if any(b <= a for a, b in zip(merged, merged[1:])):
+        return exact, None
     shown = byte_symbols()
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     ranks = {bytes(shown[c] for c in token): n for token, n in model["vocab"].items() if token not in special}
@@ -106,6 +111,12 @@ def encoders(path: str):
     return exact, tiktoken.Encoding("same", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
+@lru_cache(maxsize=4)
+def segment_ids(path: str) -> SegmentCache:
+    """Ids of segments, kept by the worker process."""
+    return SegmentCache(id_bytes_of(path), limit=300_000)
+
+
 def byte_symbols() -> dict[str, int]:
     """The character that stands for each byte in byte-level vocabularies: itself where it is visible."""
     seen = [b for b in range(256) if chr(b).isprintable() and chr(b) not in (" ", "\xa0", "\xad")]
@@ -166,7 +177,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     """Each document's ids and the end id, cut into pieces of ``capacity``; the first may be shorter."""
 
     def make():
-        cache = SegmentCache(id_bytes_of(tokenizer_path), limit=300_000)
+        cache = segment_ids(tokenizer_path)
         end = end_id.to_bytes(4, "little")
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -37,22 +37,28 @@ def segments(text: str) -> list[str]:
 class SegmentCache:
     """Values of segments, computed for many missing ones at a time.
 
-    Emptied when ``limit`` is passed, and segments over ``longest`` code points are not kept
-    after their group of texts: both bound its memory.
+    A generation of more than ``limit`` segments becomes the old one: what is met again moves on, the rest goes
+    with the next change. Segments over ``longest`` code points are not kept after their group of texts. Both
+    bound its memory; kept by a worker process, it outlives a task.
     """
 
     def __init__(self, values_of: Callable[[list[str]], list], limit: int = 400_000, longest: int = 48):
         self._values_of, self._limit, self._longest = values_of, limit, longest
         self._kept: dict[str, object] = {}
+        self._old: dict[str, object] = {}
         self._passing: list[str] = []
 
     def look_up(self, parts: list[list[str]]) -> dict[str, object]:
         """A mapping that holds the value of every segment in ``parts``."""
         if len(self._kept) > self._limit:
-            self._kept = {}
+            self._kept, self._old = {}, self._kept
         for long in self._passing:
             self._kept.pop(long, None)
-        missing = list(set().union(*parts).difference(self._kept))
+            self._old.pop(long, None)
+        wanted = set().union(*parts).difference(self._kept)
+        missing = list(wanted.difference(self._old))
+        for s in wanted.intersection(self._old):
+            self._kept[s] = self._old[s]
         self._kept.update(zip(missing, self._values_of(missing), strict=True))
         self._passing = [s for s in missing if len(s) > self._longest]
         return self._kept
