@@ -25,8 +25,13 @@ that grows with the data. Strings are de-duplicated before expansion, so a hot
 value is expanded once. A shared key is necessary, not sufficient: where the key
 is a segment, the join emits a pair only if what lies left and right of it is
 within Levenshtein distance 2k altogether, so strings that merely share a segment
-(a common prefix, say) are compared but make no rows. Candidates go through the
-JVM prefilters and then the exact kernel.
+make no rows. Candidates go through the JVM prefilters and then the exact kernel.
+
+Strings with much in common (one prefix, say) would still all be *compared* within the
+key of that part. So a long target has a second, finer cut: of its m segments at least
+m - 2k are untouched, so any 2k + 1 of them will do, and it keeps the rarest among all
+targets. It uses whichever cut has the rarer segments altogether; queries emit the
+signatures of both.
 
 ``fuzzy_sweep`` is a scan + filter: the same prefilters, then the kernel on the
 survivors only.
@@ -93,10 +98,21 @@ def switch_length(k: int) -> int:
     return length
 
 
-def _segment_sql(n: str, i: str, tau: int) -> tuple[str, str]:
+#: Letters of a segment in the finer cut, and how many times more segments than needed it may have.
+FINE_LETTERS, FINE_TIMES = 3, 4
+#: Segments that fewer targets share all count as equally rare.
+COMMON = 8
+
+
+def _n_segments_sql(n: str, k: int, fine: bool) -> str:
+    """SQL for the number of segments of a string of length ``n`` in the coarse or the fine cut."""
+    need = 2 * k + 1
+    return f"least(greatest(div({n}, {FINE_LETTERS}), {need}), {FINE_TIMES * need})" if fine else str(need)
+
+
+def _segment_sql(n: str, i: str, parts: str) -> tuple[str, str]:
     # start (0-based) and length of segment i when a string of length n is cut
-    # into tau + 1 parts, the shorter parts first
-    parts = tau + 1
+    # into so many parts, the shorter parts first
     base = f"div({n}, {parts})"
     n_short = f"({parts} - pmod({n}, {parts}))"
     start = f"({i} * {base} + greatest(0, {i} - {n_short}))"
@@ -113,29 +129,31 @@ def _tagged(strings: Column, tag: int) -> Column:
         F.xxhash64(F.lit(tag), v).alias("key"), F.lit(-1).alias("at"), F.lit(0).alias("len"))).cast(KEYS)
 
 
-def target_segments(col: str, k: int) -> Column:
-    """Signature keys of a (long) target: one per segment, keyed by length and segment index."""
-    tau = 2 * k
+def target_segments(col: str, k: int, fine: bool = False) -> Column:
+    """Signature keys of a (long) target: one per segment, keyed by cut, length and segment index."""
     n = f"char_length(`{col}`)"
-    start, length = _segment_sql(n, "i", tau)
+    parts = _n_segments_sql(n, k, fine)
+    start, length = _segment_sql(n, "i", parts)
     return F.expr(
-        f"transform(sequence(0, {tau}), i -> named_struct('key', xxhash64(1, {n}, i, substr(`{col}`, {start} + 1, {length})), "
+        f"transform(sequence(0, {parts} - 1), i -> named_struct("
+        f"'key', xxhash64({2 if fine else 1}, {n}, i, substr(`{col}`, {start} + 1, {length})), "
         f"'at', {start}, 'len', {length}))"
     ).cast(KEYS)
 
 
-def query_signatures(col: str, k: int, min_target_len: int) -> Column:
+def query_signatures(col: str, k: int, min_target_len: int, fine: bool = False) -> Column:
     """Signature keys of a query against targets longer than ``min_target_len - 1``."""
     tau = 2 * k
     q = f"`{col}`"
     nq = f"char_length({q})"
-    start, length = _segment_sql("m", "i", tau)
+    parts = _n_segments_sql("m", k, fine)
+    start, length = _segment_sql("m", "i", parts)
     inner = (
         f"transform(sequence(-{tau}, {tau}), d -> named_struct("
         f"'ok', {start} + d >= 0 AND {start} + d + {length} <= {nq}, "
-        f"'key', xxhash64(1, m, i, substr({q}, {start} + d + 1, {length})), 'at', {start} + d, 'len', {length}))"
+        f"'key', xxhash64({2 if fine else 1}, m, i, substr({q}, {start} + d + 1, {length})), 'at', {start} + d, 'len', {length}))"
     )
-    per_len = f"flatten(transform(sequence(0, {tau}), i -> {inner}))"
+    per_len = f"flatten(transform(sequence(0, {parts} - 1), i -> {inner}))"
     lengths = f"filter(transform(sequence(-{k}, {k}), e -> {nq} + e), m -> m >= {min_target_len})"
     all_sigs = f"flatten(transform({lengths}, m -> {per_len}))"
     return F.expr(
@@ -143,6 +161,55 @@ def query_signatures(col: str, k: int, min_target_len: int) -> Column:
     ).cast(KEYS)
 
 
+def distinct_strings(df: DataFrame, col: str, name: str) -> DataFrame:
+    return df.select(F.col(col).alias(name)).where(F.col(col).isNotNull()).distinct()
+
+
+def query_keys(qs: DataFrame, k: int) -> DataFrame:
+    """``_q, _key, _q_at, _q_len``: every key under which a string may meet a target."""
+    l0, length = switch_length(k), F.char_length("_q")
+    empty = F.array().cast(KEYS)
+    signatures = F.concat(query_signatures("_q", k, l0 + 1), query_signatures("_q", k, l0 + 1, fine=True))
+    keys = F.concat(
+        F.when(length <= l0 + k, _tagged(deletion_variants("_q", k), 0)).otherwise(empty),
+        F.when(length >= l0 + 1 - k, signatures).otherwise(empty),
+    )
+    return qs.select("_q", F.inline(keys)).toDF("_q", "_key", "_q_at", "_q_len")
+
+
+def target_keys(ts: DataFrame, k: int, known: DataFrame | None = None) -> DataFrame:
+    """``_t, _key, _t_at, _t_len``: the keys under which a target is met.
+
+    Short targets by shared deletion variant; long ones by the segments of the cut whose segments fewer
+    targets share (those of ``known``, with a ``_key`` each, count too). Segments are counted before
+    the shuffle; common ones alone are joined back.
+    """
+    l0, length = switch_length(k), F.char_length("_t")
+    columns = ["_t", "_key", "_t_at", "_t_len"]
+    short = ts.where(length <= l0).select("_t", F.inline(_tagged(deletion_variants("_t", k), 0))).toDF(*columns)
+    if k == 0:
+        return short  # every target is met under itself
+    long = ts.where(length > l0)
+    cuts = [long.select("_t", F.lit(cut).alias("_cut"), F.inline(target_segments("_t", k, fine=bool(cut)))) for cut in (0, 1)]
+    segments = cuts[0].union(cuts[1]).toDF("_t", "_cut", "_key", "_t_at", "_t_len")
+    counted = segments.select("_key")
+    if known is not None:
+        counted = counted.union(known.select("_key").join(counted.distinct(), "_key", "left_semi"))
+    common = counted.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= COMMON)
+    per_target = segments.join(common, "_key", "left").groupBy("_t").agg(F.sort_array(F.collect_list(F.struct(
+        "_cut", F.coalesce("_n", F.lit(COMMON)).alias("n"), F.col("_key").alias("key"), F.col("_t_at").alias("at"),
+        F.col("_t_len").alias("len")))).alias("found"))
+    coarse = F.filter("found", lambda x: x["_cut"] == 0)
+    rarest = F.slice(F.filter("found", lambda x: x["_cut"] == 1), 1, 2 * k + 1)
+
+    def shared(segments: Column) -> Column:
+        return F.aggregate(segments, F.lit(0).cast("bigint"), lambda total, x: total + x["n"])
+
+    chosen = F.when(shared(coarse) <= shared(rarest), coarse).otherwise(rarest)
+    keys = F.transform(chosen, lambda x: F.struct(x["key"].alias("key"), x["at"].alias("at"), x["len"].alias("len"))).cast(KEYS)
+    return short.union(per_target.select("_t", F.inline(keys)).toDF(*columns))
+
+
 def fuzzy_sweep(df: DataFrame, col: str, query: str, k: int, distance_col: str = "distance") -> DataFrame:
     """Rows whose ``col`` is within Damerau-Levenshtein distance ``k`` of ``query``.
 
@@ -165,23 +232,8 @@ def _sides_within(tau: int) -> Column:
     return (F.col("_t_at") < 0) | ((left >= 0) & (right >= 0) & (left + right <= tau))
 
 
-def fuzzy_pairs(queries: DataFrame, q_col: str, targets: DataFrame, t_col: str, k: int) -> DataFrame:
-    """Distinct ``(query, target, distance)`` with ``DL(query, target) <= k``."""
-    l0 = switch_length(k)
-    qs = queries.select(F.col(q_col).alias("_q")).where(F.col(q_col).isNotNull()).distinct()
-    ts = targets.select(F.col(t_col).alias("_t")).where(F.col(t_col).isNotNull()).distinct()
-    qlen, tlen = F.char_length("_q"), F.char_length("_t")
-    empty = F.array().cast(KEYS)
-    # one key array per string, each key tagged with its scheme, so each side is
-    # expanded once and joined once: short targets by shared deletion variant,
-    # long targets by a verbatim segment at a bounded shift
-    t_keys = F.when(tlen <= l0, _tagged(deletion_variants("_t", k), 0)).otherwise(target_segments("_t", k))
-    q_keys = F.concat(
-        F.when(qlen <= l0 + k, _tagged(deletion_variants("_q", k), 0)).otherwise(empty),
-        F.when(qlen >= l0 + 1 - k, query_signatures("_q", k, l0 + 1)).otherwise(empty),
-    )
-    qk = qs.select("_q", F.inline(q_keys)).toDF("_q", "_key", "_q_at", "_q_len")
-    tk = ts.select("_t", F.inline(t_keys)).toDF("_t", "_key", "_t_at", "_t_len")
+def pairs_by_key(qk: DataFrame, tk: DataFrame, k: int) -> DataFrame:
+    """``query_sequence, sequence, distance`` of the pairs that share a key and are within ``k``."""
     cand = qk.join(tk, "_key").where(_sides_within(2 * k)).select("_q", "_t").distinct()
     cand = cand.where(within_prefilter(F.col("_q"), F.col("_t"), k))
     scored = cand.withColumn("_d", damerau_levenshtein_within(F.col("_q"), F.col("_t"), k)).where(F.col("_d") <= k)
@@ -190,6 +242,12 @@ def fuzzy_pairs(queries: DataFrame, q_col: str, targets: DataFrame, t_col: str,
     )
 
 
+def fuzzy_pairs(queries: DataFrame, q_col: str, targets: DataFrame, t_col: str, k: int) -> DataFrame:
+    """Distinct ``(query, target, distance)`` with ``DL(query, target) <= k``."""
+    qk = query_keys(distinct_strings(queries, q_col, "_q"), k)
+    return pairs_by_key(qk, target_keys(distinct_strings(targets, t_col, "_t"), k), k)
+
+
 def fuzzy_join(
     queries: DataFrame,
     q_col: str,

@@ -16,6 +16,7 @@ from tessera.functions.naming import slug_expr
 from tessera.functions.text import clean_sequence
 from tessera.operators.aggregates import distinct_sorted_list, modal_value
 from tessera.operators.catalog import audit_casts
+from tessera.operators.fuzzy_index import write_fuzzy_index
 from tessera.operators.quality import check_expected, quality_report
 from tessera.operators.ranking import best_per_key, best_row, exact_lookup, lookup
 from tessera.operators.reduce import GRAIN, modal_pair_per_grain
@@ -185,12 +186,29 @@ def q_fuzzy_sweep_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql_over_files(spark, SWEEP_SQL.format(path=path))
 
 
+FUZZY_COLUMNS = ("query_sequence", "sequence", "iedb_epitope_id", "mhc_allele", "n_assays", "distance")
+
+
+def _queries_and_targets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    # the targets are used twice, so the reduction is written once
+    path = scratch_path(spark, "fuzzy-targets")
+    columns = ("sequence", "iedb_epitope_id", "mhc_allele", "mhc_class", "n_assays")
+    write_parquet(reduced_table(spark, sf_dir).select(*columns), path, level=None)
+    return read_table(spark, sf_dir, "part").select(clean_sequence(F.upper("p_name")).alias("query")), spark.read.parquet(path)
+
+
 def q_fuzzy_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    queries = read_table(spark, sf_dir, "part").select(clean_sequence(F.upper("p_name")).alias("query"))
-    r = reduced_table(spark, sf_dir).select("sequence", "iedb_epitope_id", "mhc_allele", "n_assays")
-    return fuzzy_join(queries, "query", r, "sequence", MAX_DISTANCE).select(
-        "query_sequence", "sequence", "iedb_epitope_id", "mhc_allele", "n_assays", "distance"
-    )
+    queries, r = _queries_and_targets(spark, sf_dir)
+    return fuzzy_join(queries, "query", r, "sequence", MAX_DISTANCE).select(*FUZZY_COLUMNS)
+
+
+def q_fuzzy_join_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # an index of the class I sequences, extended by the others, then queried
+    queries, r = _queries_and_targets(spark, sf_dir)
+    index = write_fuzzy_index(r.where(F.col("mhc_class") == REPORT_CLASS), "sequence", MAX_DISTANCE,
+                              scratch_path(spark, "fuzzy-index"), n_buckets=8)
+    index.add(r, "sequence")
+    return index.join(queries, "query", r, "sequence").select(*FUZZY_COLUMNS)
 
 
 def q_quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,6 +246,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fuzzy_sweep": q_fuzzy_sweep,
     "fuzzy_sweep_sql": q_fuzzy_sweep_sql,
     "fuzzy_join": q_fuzzy_join,
+    "fuzzy_join_indexed": q_fuzzy_join_indexed,
     "quality_checks": q_quality_checks,
     "slug_values": q_slug_values,
     "cast_audit": q_cast_audit,
@@ -344,4 +363,5 @@ from tessera.plans import export_import as _export_import  # noqa: E402
 
 QUERIES.update(_export_import.QUERIES)
 ORACLES.update(_export_import.ORACLES)
+ORACLES["fuzzy_join_indexed"] = ORACLES["fuzzy_join"]
 ORACLES["import_then_reduce"] = ORACLES["reduced_table"]
