@@ -7,7 +7,8 @@ Plan shape (one scan, one shuffle for the whole reduction):
 
 Every per-group value (modal scalars, the modal position pair, distinct lists,
 counts) is an aggregate over the same grouping, so there is no self-join and no
-second pass over the input.
+second pass over the input. Grains known to be heavy can take a second path that
+counts values instead of holding them (``heavy=``).
 """
 
 from __future__ import annotations
@@ -113,14 +114,19 @@ def _column(name: str, value: Column, description: str, source: str) -> Column:
     return value.alias(name, metadata={"description": description, "source": source})
 
 
-def reduce_to_grain(fields: DataFrame, grain=GRAIN) -> DataFrame:
-    """One row per grain with modal, list and count aggregates (16 columns).
+#: Above so many rows a grain may hold more distinct values than a task should keep in maps.
+HEAVY_ROWS = 1_000_000
 
-    Groups whose grain holds a null key keep null positions: the modal pair is
-    defined by an equi-join on the grain, which never matches null keys.
-    """
+
+def heavy_grains(fields: DataFrame, grain=GRAIN, rows: int = HEAVY_ROWS) -> DataFrame:
+    """Grains of more than ``rows`` rows: never more of them than the input has rows, divided by ``rows``."""
     grain = list(grain)
-    aggregated = fields.groupBy(*grain).agg(
+    return fields.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).select(*grain)
+
+
+def _fused(fields: DataFrame, grain: list[str]) -> DataFrame:
+    """Every aggregate in one pass and one shuffle; buffers hold the distinct values of a grain."""
+    return fields.groupBy(*grain).agg(
         first_non_null("mhc_class").alias("mhc_class"),
         modal_value("uniprot_id").alias("uniprot_id"),
         modal_value("source_molecule").alias("source_molecule"),
@@ -131,6 +137,76 @@ def reduce_to_grain(fields: DataFrame, grain=GRAIN) -> DataFrame:
         distinct_sorted_list("modified_residues").alias("modified_residues"),
         row_count().alias("n_assays"),
     )
+
+
+def _counted(fields: DataFrame, grain: list[str]) -> DataFrame:
+    """The same values from counts of (grain, column, value), for grains of any number of distinct values.
+
+    A row is dealt by grain *and value*, after counting inside each task, so no task gets a whole grain; what is
+    left for the grain is a least struct per column, which takes constant room. (The lists are part of
+    the result and need theirs.)
+    """
+    texts = ("mhc_class", "uniprot_id", "source_molecule", "modifications", "modified_residues")
+    pair = ("start_position", "end_position")
+
+    def value(column: str, text: Column | None = None, first: Column | None = None, second: Column | None = None) -> Column:
+        return F.struct(F.lit(column).alias("_column"), (F.lit(None) if text is None else text).cast("string").alias("_text"),
+                        (F.lit(None) if first is None else first).cast("bigint").alias("_first"),
+                        (F.lit(None) if second is None else second).cast("bigint").alias("_second"))
+
+    values = F.array(*[value(c, text=F.col(c)) for c in texts], value("pmid", first=F.col("pmid")),
+                     value("_pair", first=F.col(pair[0]), second=F.col(pair[1])))
+    counts = fields.select(*grain, F.inline(values)).groupBy(*grain, "_column", "_text", "_first", "_second").agg(
+        F.count(F.lit(1)).alias("_n"))
+
+    def of(column: str, what: Column) -> Column:
+        return F.when(F.col("_column") == column, what)
+
+    def mode(column: str) -> Column:
+        # the least of (-count, value): most rows first, then the lowest value
+        present = F.when(F.col("_text").isNotNull(), F.struct((-F.col("_n")).alias("n"), F.col("_text").alias("v")))
+        return F.min(of(column, present))["v"]
+
+    def distinct(column: str, what: str, kind: str) -> Column:
+        return F.array_sort(F.collect_list(of(column, F.col(what)))).cast(f"array<{kind}>")
+
+    modal_pair = F.min(of("_pair", F.struct(
+        (-F.col("_n")).alias("n"), F.col("_first").isNull().alias("no_first"), F.col("_first").alias(pair[0]),
+        F.col("_second").isNull().alias("no_second"), F.col("_second").alias(pair[1]))))
+    types = dict(fields.dtypes)
+    return counts.groupBy(*grain).agg(
+        F.min(of("mhc_class", F.col("_text"))).alias("mhc_class"),
+        mode("uniprot_id").alias("uniprot_id"),
+        mode("source_molecule").alias("source_molecule"),
+        modal_pair.alias("_pair"),
+        distinct("pmid", "_first", types["pmid"]).alias("pmids"),
+        distinct("modifications", "_text", "string").alias("modifications"),
+        distinct("modified_residues", "_text", "string").alias("modified_residues"),
+        F.coalesce(F.sum(of("_pair", F.col("_n"))), F.lit(0)).alias("n_assays"),
+    ).withColumn("_pair", F.struct(F.col("_pair")[pair[0]].alias(pair[0]), F.col("_pair")[pair[1]].alias(pair[1])))
+
+
+def _is_one_of(df: DataFrame, keys: DataFrame, grain: list[str], how: str) -> DataFrame:
+    """Null-safe semi or anti join on the grain."""
+    named = keys.toDF(*[f"_k{i}" for i in range(len(grain))])
+    return df.join(named, _fold(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_k{i}")) for i, g in enumerate(grain)]), how)
+
+
+def reduce_to_grain(fields: DataFrame, grain=GRAIN, heavy: DataFrame | None = None) -> DataFrame:
+    """One row per grain with modal, list and count aggregates (16 columns).
+
+    Groups whose grain holds a null key keep null positions: the modal pair is
+    defined by an equi-join on the grain, which never matches null keys.
+
+    ``heavy`` names grains (as :func:`heavy_grains` finds them; write them first, they are read twice) that are
+    reduced by counting values instead of holding them in maps, with the same result.
+    """
+    grain = list(grain)
+    if heavy is None:
+        aggregated = _fused(fields, grain)
+    else:
+        aggregated = _fused(_is_one_of(fields, heavy, grain, "left_anti"), grain).unionByName(
+            _counted(_is_one_of(fields, heavy, grain, "left_semi"), grain))
     keyed = keys_present(grain)
     src = SOURCE_COLUMNS
     return aggregated.select(

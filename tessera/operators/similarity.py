@@ -190,8 +190,11 @@ def target_keys(ts: DataFrame, k: int, known: DataFrame | None = None) -> DataFr
     if k == 0:
         return short  # every target is met under itself
     long = ts.where(length > l0)
-    cuts = [long.select("_t", F.lit(cut).alias("_cut"), F.inline(target_segments("_t", k, fine=bool(cut)))) for cut in (0, 1)]
-    segments = cuts[0].union(cuts[1]).toDF("_t", "_cut", "_key", "_t_at", "_t_len")
+
+    def of_cut(cut: int) -> Column:
+        return F.transform(target_segments("_t", k, fine=bool(cut)), lambda x: F.struct(F.lit(cut).alias("cut"), x["key"], x["at"], x["len"]))
+
+    segments = long.select("_t", F.inline(F.concat(of_cut(0), of_cut(1)))).toDF("_t", "_cut", "_key", "_t_at", "_t_len")
     counted = segments.select("_key")
     if known is not None:
         counted = counted.union(known.select("_key").join(counted.distinct(), "_key", "left_semi"))

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from tessera.functions.naming import slug_expr
 from tessera.functions.text import clean_sequence
 from tessera.operators.aggregates import distinct_sorted_list, modal_value
-from tessera.operators.catalog import audit_casts
+from tessera.operators.catalog import audit_casts, infer_types
 from tessera.operators.fuzzy_index import write_fuzzy_index
 from tessera.operators.quality import check_expected, quality_report
 from tessera.operators.ranking import best_per_key, best_row, exact_lookup, lookup
-from tessera.operators.reduce import GRAIN, modal_pair_per_grain
+from tessera.operators.reduce import GRAIN, heavy_grains, modal_pair_per_grain, reduce_to_grain
 from tessera.operators.reports import class_report, reduced_summary
 from tessera.operators.similarity import fuzzy_join, fuzzy_sweep
 from tessera.plans.epitope_table import (
@@ -31,6 +31,7 @@ from tessera.plans.epitope_table import (
     with_reduced,
 )
 from tessera.plans.export_frame import export_frame, read_table
+from tessera.plans.wide_export import WIDE_EXPORT_SQL, wide_columns, wide_export_frame
 from tessera.session import scratch_path
 from tessera.sinks.writers import flatten_lists, write_csv_report, write_parquet, write_reduced_table
 from tessera.sources.parquet import sql_over_files
@@ -166,6 +167,34 @@ def q_sorted_table_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_lists(exact_lookup(written, "sequence", LOOKUP))
 
 
+HEAVY_EXAMPLE = 24  # so that the driver tables have grains on both paths; HEAVY_ROWS is the real bound
+
+
+def q_reduced_two_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # grains above a number of rows are reduced by counting their values
+    f = fields_frame(spark, sf_dir)
+    path = scratch_path(spark, "heavy-grains")
+    heavy_grains(f, rows=HEAVY_EXAMPLE).write.parquet(path)
+    return flatten_lists(reduce_to_grain(f, heavy=spark.read.parquet(path)))
+
+
+LOOKUP_ID, LOOKUP_ALLELE = 7, "HLA-A*02:01"
+
+
+def q_bloom_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # lookups by columns that the table is not sorted by
+    table = write_reduced_table(reduced_table(spark, sf_dir), scratch_path(spark, "reduced-bloom"),
+                                bloom={"iedb_epitope_id": 100_000, "mhc_allele": 10_000})
+    by_id = exact_lookup(table, "iedb_epitope_id", LOOKUP_ID)
+    return flatten_lists(exact_lookup(by_id, "mhc_allele", LOOKUP_ALLELE))
+
+
+def q_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # every column of the wide export as text, back to its type
+    e = wide_export_frame(spark, sf_dir)
+    return infer_types(e.select(*[F.col(c).cast("string").alias(c) for c in e.columns]))
+
+
 def q_fuzzy_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = reduced_table(spark, sf_dir).where(F.col("peptide_length") == SWEEP_LENGTH)
     hits = fuzzy_sweep(r, "sequence", SWEEP_QUERY, MAX_DISTANCE)
@@ -243,6 +272,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expectations": q_expectations,
     "exact_lookup": q_exact_lookup,
     "sorted_table_lookup": q_sorted_table_lookup,
+    "reduced_two_paths": q_reduced_two_paths,
+    "bloom_lookup": q_bloom_lookup,
+    "inferred_types": q_inferred_types,
     "fuzzy_sweep": q_fuzzy_sweep,
     "fuzzy_sweep_sql": q_fuzzy_sweep_sql,
     "fuzzy_join": q_fuzzy_join,
@@ -273,6 +305,25 @@ def _audit_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _types_sql() -> str:
+    """The narrowest type of every column of the wide export, from its values as text."""
+    parts = []
+    for c in wide_columns():
+        x = f'"{c}"::varchar'
+        whole = f"regexp_full_match({x}, '[+-]?(0|[1-9][0-9]*)')"
+        number = f"CASE WHEN {whole} THEN try_cast({x} AS bigint) END"
+        plain = f"regexp_full_match({x}, '[+-]?([0-9]|[1-9][0-9]*)(\\.[0-9]*)?([eE][+-]?[0-9]+)?')"
+        rank = (f"CASE WHEN {x} IS NULL THEN 0 WHEN {number} BETWEEN -32768 AND 32767 THEN 1 "
+                f"WHEN {number} BETWEEN -2147483648 AND 2147483647 THEN 2 WHEN {number} IS NOT NULL THEN 3 "
+                f"WHEN NOT {whole} AND {plain} THEN 4 ELSE 5 END")
+        parts.append(f"SELECT '{c}' AS column_name, max({rank}) AS rank, count(*) AS n_rows, count({x}) AS n_non_null, "
+                     f"min(try_cast({x} AS double)) AS lo, max(try_cast({x} AS double)) AS hi FROM w")
+    union = "\nUNION ALL\n".join(parts)
+    return f"""WITH w AS ({WIDE_EXPORT_SQL}), t AS ({union})
+SELECT column_name, ['null', 'smallint', 'int', 'bigint', 'double', 'string'][rank + 1] AS type, n_rows, n_non_null,
+       CASE WHEN rank BETWEEN 1 AND 4 THEN lo END AS min_value, CASE WHEN rank BETWEEN 1 AND 4 THEN hi END AS max_value FROM t"""
+
+
 _PART_SEQUENCE = "regexp_replace(split_part(upper(p_name), ' + ', 1), '\\s+', '', 'g')"
 
 _KNOWN_SQL = f"""sequence, iedb_epitope_id, mhc_allele, uniprot_id, start_position, end_position,
@@ -325,6 +376,10 @@ WHERE b.sequence IS NULL OR b.uniprot_id IS DISTINCT FROM 'P1' OR b.start_positi
     ),
     "exact_lookup": with_reduced(REDUCED_FLAT_SELECT + f"\nWHERE sequence = '{LOOKUP}'"),
     "sorted_table_lookup": with_reduced(REDUCED_FLAT_SELECT + f"\nWHERE sequence = '{LOOKUP}'"),
+    "reduced_two_paths": with_reduced(REDUCED_FLAT_SELECT),
+    "bloom_lookup": with_reduced(
+        REDUCED_FLAT_SELECT + f"\nWHERE iedb_epitope_id = {LOOKUP_ID} AND mhc_allele = '{LOOKUP_ALLELE}'"),
+    "inferred_types": _types_sql(),
     "fuzzy_sweep": with_reduced(
         f"""SELECT sequence, mhc_allele, uniprot_id, source_molecule,
        damerau_levenshtein(sequence, '{SWEEP_QUERY}')::int AS distance

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from tessera.operators.reduce import GRAIN, sort_by_grain
+from tessera.session import delete_created, scratch_path
 
 # A codec that every Spark has, at a level where writing is still bound by parsing.
 DEFAULT_CODEC = "zstd"
@@ -27,33 +27,50 @@ def flatten_lists(df: DataFrame, sep: str = LIST_SEPARATOR) -> DataFrame:
 
 
 def write_parquet(df: DataFrame, path: str, codec: str = DEFAULT_CODEC, level: int | None = DEFAULT_LEVEL,
-                  mode: str = "overwrite") -> None:
+                  mode: str = "overwrite", options: dict[str, str] | None = None) -> None:
     """Parquet with an explicit codec level. Output is a directory of part files."""
-    w = df.write.mode(mode).option("compression", codec)
+    w = df.write.mode(mode).option("compression", codec).options(**(options or {}))
     if codec == "zstd" and level is not None:
         w = w.option("parquet.compression.codec.zstd.level", str(level))
     w.parquet(path)
 
 
+#: Bits of a Bloom filter for each distinct value, as chance of a false hit.
+BLOOM_FALSE_HITS = 0.01
+
+
+def bloom_options(columns: dict[str, int]) -> dict[str, str]:
+    """Parquet options that give each row group a Bloom filter on ``columns`` (name -> distinct values expected in it)."""
+    options = {}
+    for name, n_values in columns.items():
+        options[f"parquet.bloom.filter.enabled#{name}"] = "true"
+        options[f"parquet.bloom.filter.expected.ndv#{name}"] = str(n_values)
+        options[f"parquet.bloom.filter.fpp#{name}"] = str(BLOOM_FALSE_HITS)
+    return options
+
+
 def write_reduced_table(reduced: DataFrame, path: str, grain=GRAIN, codec: str = DEFAULT_CODEC,
-                        level: int | None = DEFAULT_LEVEL) -> DataFrame:
+                        level: int | None = DEFAULT_LEVEL, bloom: dict[str, int] | None = None) -> DataFrame:
     """Write the reduced table sorted by its grain and return a lazy read of it.
 
-    The global sort is a range-partitioned shuffle (sampled boundaries), so the
-    output files hold disjoint, sorted key ranges and their row-group statistics
-    let an equality lookup skip nearly everything.
+    The global sort is a range-partitioned shuffle, so the output files hold
+    disjoint, sorted key ranges and their row-group statistics let an equality
+    lookup skip nearly everything. ``bloom`` (column -> distinct values expected
+    in a row group) lets lookups by other columns skip row groups too.
 
-    The range partitioner samples its input in a job of its own; without a
-    persisted input that job would run the final aggregation a second time. The
-    aggregated table is persisted (memory, spilling to disk; a lost block is
-    recomputed from lineage) for the duration of the write only.
+    The aggregation is written once, unsorted, under the shared scratch folder. The
+    sort samples its range bounds from that table and shuffles it: nothing is held
+    in executors, and a lost one costs no second aggregation.
     """
-    staged = reduced.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = reduced.sparkSession
+    staged = scratch_path(spark, "reduced-unsorted")
+    write_parquet(reduced, staged, codec="zstd", level=1)
     try:
-        write_parquet(sort_by_grain(staged, grain), path, codec, level)
+        in_order = sort_by_grain(spark.read.schema(reduced.schema).parquet(staged), grain)
+        write_parquet(in_order, path, codec, level, options=bloom_options(bloom or {}))
     finally:
-        staged.unpersist()
-    return reduced.sparkSession.read.parquet(path)
+        delete_created(spark, staged)
+    return spark.read.parquet(path)
 
 
 def write_csv_report(df: DataFrame, path: str, sep: str = LIST_SEPARATOR, single_file: bool = False,
