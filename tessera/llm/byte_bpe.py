@@ -89,38 +89,42 @@ class ByteBpe:
         self.ranks = ranks
         self.whole = PerfectHash(ranks)
         self.bytes_of = {n: token for token, n in ranks.items()}
+        self.byte_ids = [ranks[bytes([b])] for b in range(256)]
+        # two ids -> the id of their bytes together, which is also its rank: every way to cut every token in two
+        self.joined = {(a, b): n for token, n in ranks.items() for cut in range(1, len(token))
+                       if (a := ranks.get(token[:cut])) is not None and (b := ranks.get(token[cut:])) is not None}
         self.split = regex.compile(pattern).findall
 
     def merge(self, token: bytes) -> list[int]:
         """Ids of a pre-token: the adjacent pair of lowest rank merges first, the left one on ties."""
-        n = len(token)
-        rank, push, pop = self.ranks.get, heapq.heappush, heapq.heappop
-        stop = list(range(1, n + 1))  # where the part that starts here ends; 0: it is merged into another
-        before = list(range(-1, n))  # where the part before starts
+        symbol = [*map(self.byte_ids.__getitem__, token)]
+        n, joined, push, pop = len(symbol), self.joined.get, heapq.heappush, heapq.heappop
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
+        pair = [*map(joined, zip(symbol, symbol[1:])), None]  # what the part that starts here and the next join to
         bits = n.bit_length()
         low = (1 << bits) - 1
-        heap = [(r << bits | i) << bits | i + 2 for i in range(n - 1) if (r := rank(token[i:i + 2])) is not None]
+        heap = [new << bits | i for i, new in enumerate(pair) if new is not None]
         heapq.heapify(heap)
         while heap:
             entry = pop(heap)
-            end = entry & low
-            i = entry >> bits & low
-            j = stop[i]
-            if not j or j >= n or stop[j] != end:
+            i, new = entry & low, entry >> bits
+            if pair[i] != new:
                 continue  # one of the two has changed since
-            stop[i], stop[j] = end, 0
-            if end < n:
-                before[end] = i
-                if (r := rank(token[i:stop[end]])) is not None:
-                    push(heap, (r << bits | i) << bits | stop[end])
-            h = before[i]
-            if h >= 0 and (r := rank(token[h:end])) is not None:
-                push(heap, (r << bits | h) << bits | end)
-        out, i = [], 0
-        while i < n:
-            out.append(self.ranks[token[i:stop[i]]])
-            i = stop[i]
-        return out
+            j, h = after[i], before[i]
+            k = after[j]
+            symbol[i], symbol[j] = new, -1
+            after[i] = k
+            pair[i] = pair[j] = None
+            if k < n:
+                before[k] = i
+                pair[i] = found = joined((new, symbol[k]))
+                if found is not None:
+                    push(heap, found << bits | i)
+            if h >= 0:
+                pair[h] = found = joined((symbol[h], new))
+                if found is not None:
+                    push(heap, found << bits | h)
+        return [s for s in symbol if s >= 0]
 
     def encode_part(self, part: str) -> tuple[int, ...]:
         """Ids of one pre-token, kept for the next time; a full memo becomes the old one, which the next replaces."""
@@ -162,16 +166,13 @@ def load_bpe(path: str, pattern: str) -> ByteBpe:
 
 @lru_cache(maxsize=2)
 def digest_parts(path: str, pattern: str) -> SegmentCache:
-    """Per segment: number of ids, their decimal names and their decoding. Kept by the worker process."""
+    """Per segment: the decimal names of its ids, comma-joined, and their decoding. Kept by the worker process."""
     bpe = load_bpe(path, pattern)
     name_of = [str(n) for n in range(max(bpe.bytes_of) + 1)]
 
-    def values(found: list[str]) -> list[tuple[int, str, bytes]]:
-        out = []
-        for s in found:
-            ids = bpe.encode(s)
-            out.append((len(ids), ",".join([name_of[i] for i in ids]), bpe.decode(ids)))
-        return out
+    def values(found: list[str]) -> list[tuple[str, bytes]]:
+        every = map(bpe.encode, found)
+        return [(",".join([name_of[i] for i in ids]), bpe.decode(ids)) for ids in every]
 
     return SegmentCache(values, limit=200_000)
 
@@ -234,9 +235,10 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 parts = [cut(t) if t else [] for t in group]
                 known = cache.look_up(parts)
                 for p in parts:
-                    counts, names, decoded = zip(*map(known.__getitem__, p), strict=True) if p else ((), (), ())
-                    out[0].append(sum(counts))
-                    out[1].append(hashlib.sha256(",".join(names).encode()).hexdigest())
+                    names, decoded = zip(*map(known.__getitem__, p), strict=True) if p else ((), ())
+                    joined = ",".join(names)
+                    out[0].append(joined.count(",") + 1 if p else 0)
+                    out[1].append(hashlib.sha256(joined.encode()).hexdigest())
                     out[2].append(hashlib.sha256(b"".join(decoded)).hexdigest())
             return pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())],
