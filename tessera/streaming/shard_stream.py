@@ -8,21 +8,24 @@ given, records which files were committed, so a restarted or re-run query import
 every shard exactly once, and ``availableNow`` processes what is there in bounded
 micro-batches, then stops.
 
-A stream mixes files, so header records are recognised by their file and their
-values: a data row of the header shard that equals a header record is left out too.
+The header shard is a source of its own, whose leading records are dropped by their
+place; the other shards are one source that prunes columns and stays JVM-side.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import sys
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.sinks.writers import DEFAULT_CODEC, DEFAULT_LEVEL
 from tessera.sources.sharded_csv import (
-    CORRUPT_COL,
     NAME_SEP,
     check_width,
     compose_name,
@@ -39,11 +42,19 @@ from tessera.sources.sharded_csv import (
 CHECKPOINT = "_import_checkpoint"
 
 
-def _is_header(columns: list[str], header_rows: list[tuple]) -> Column:
-    """A record equal to a header record; a blank header cell may be quoted or not."""
-    return reduce(lambda a, b: a | b, [
-        reduce(lambda a, b: a & b, [F.coalesce(c, F.lit("")) == F.lit(v or "") for c, v in zip(columns, record, strict=True)])
-        for record in header_rows])
+def _without_leading(records: DataFrame, n: int) -> DataFrame:
+    """``records`` of one file without the first ``n`` (a task reads a file's first split from its start)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = n
+        for batch in batches:
+            leading = np.flatnonzero(batch.column(batch.num_columns - 1).to_numpy() == 0)[:left]
+            left -= len(leading)
+            keep = np.ones(batch.num_rows, dtype=bool)
+            keep[leading] = False
+            yield batch.select(range(batch.num_columns - 1)).filter(pa.array(keep))
+
+    return records.select("*", "_metadata.file_block_start").mapInArrow(run, records.schema)
 
 
 def stream_shards(
@@ -62,13 +73,17 @@ def stream_shards(
     names = [compose_name(g, f, sep) for g, f in zip(*header_rows, strict=True)]
     if casts is None:
         casts = default_casts(names)
-    reader = spark.readStream.option("pathGlobFilter", "*.csv")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = raw_records(reader, path, len(names), multiline)
-    columns = [c for c in raw.columns if c != CORRUPT_COL]
-    from_header_file = F.col("_metadata.file_name") == F.lit(shards[0].rsplit("/", 1)[-1])
-    out = name_columns(check_width(raw.where(~(from_header_file & _is_header(columns, header_rows)))), names)
+    header_name = shards[0].rsplit("/", 1)[-1]
+
+    def source(names_like: str) -> DataFrame:
+        reader = spark.readStream.option("pathGlobFilter", names_like)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        return raw_records(reader, path, len(names), multiline)
+
+    first = check_width(_without_leading(source(header_name), len(header_rows)))
+    others = check_width(source("*.csv").where(F.col("_metadata.file_name") != F.lit(header_name)))
+    out = name_columns(others.union(first), names)
     if casts:
         out = strict_cast(out, casts, exact_text)
     return slug_columns(out) if slugs else out
@@ -102,3 +117,7 @@ def import_arriving_shards(
     if codec == "zstd" and level is not None:
         writer = writer.option("parquet.compression.codec.zstd.level", str(level))
     return writer.start(out)
+
+
+# Ship this module's code with the tasks by value, so executors need no install.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

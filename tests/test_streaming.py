@@ -76,3 +76,14 @@ def test_stream_drops_a_header_with_a_quoted_blank_cell(spark, tmp_dir):
     _write(src, "x_00.csv", 'G,"",G\na,b,c\n1,2,3\n')
     import_arriving_shards(spark, src, out).awaitTermination()
     assert [tuple(r) for r in spark.read.parquet(out).collect()] == [("1", "2", "3")]
+
+
+def test_data_rows_that_equal_header_records_stay(spark, tmp_dir):
+    for multiline in (True, False):
+        src, out = os.path.join(tmp_dir, f"src{multiline}"), os.path.join(tmp_dir, f"out{multiline}")
+        os.makedirs(src)
+        _write(src, "x_00.csv", HEADER + "a,2020,1\nIRI,Date,Value\nRef,Ref,Assay\nIRI,Date,Value\n")
+        _write(src, "x_01.csv", "IRI,Date,Value\nb,2021,2\n")
+        import_arriving_shards(spark, src, out, {}, multiline=multiline).awaitTermination()
+        got = sorted(r.ref_iri for r in spark.read.parquet(out).collect())
+        assert got == ["IRI", "IRI", "IRI", "Ref", "a", "b"]
