@@ -8,6 +8,8 @@ accepts but high-confidence patterns point to become spans as well. All of it is
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,11 @@ _TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 SPAN = "array<struct<kind:int,start:int,end:int>>"
 MENTION = "array<struct<start:int,end:int,token:string,left:string,right:string>>"
 
+#: Values folded at a time by :func:`running`; code points of the chunks that text is cut into, large ones first.
+FOLD, LARGE_CHUNK, CHUNK = 256, 65_536, 1024
+#: Code points of a cell: spans that overlap have a cell in common.
+CELL = 64
+
 ROUNDS = 3
 #: A pattern counts once it holds this many different seeds, a token once its score reaches CONFIDENT.
 MIN_SEEDS = 5
@@ -59,24 +66,50 @@ def _accepted(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
+def running(values: Column, kind: str, merge: Callable[[Column, Column], Column], start: Column) -> Column:
+    """What ``merge`` makes of all values before each one, from ``start`` on.
+
+    A fold that grows an array copies it at every step. So blocks are folded by themselves, then the blocks'
+    totals: about linear work up to millions of values.
+    """
+    empty = F.array().cast(f"array<{kind}>")
+
+    def fold(items: Column, value: Callable[[Column], Column]) -> Column:
+        return F.aggregate(items, F.struct(start.alias("at"), empty.alias("before")), lambda s, x: F.struct(
+            merge(s["at"], value(x)).alias("at"), F.concat(s["before"], F.array(s["at"])).alias("before")))
+
+    def of_blocks(folded: Column) -> Column:
+        ahead = fold(folded, lambda b: b["at"])["before"]
+        return F.flatten(F.zip_with(ahead, folded, lambda a, b: F.transform(b["before"], lambda x: merge(a, x))))
+
+    def blocks(v: Column) -> Column:
+        last = ((F.size(v) - 1) / FOLD).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda n: fold(F.slice(v, n * FOLD + 1, FOLD), lambda x: x))
+
+    return let(values, lambda v: F.when(F.size(v) == 0, empty).otherwise(let(blocks(v), of_blocks)))
+
+
 def _places(text: Column, pattern: str, matches: Column) -> Column:
     """(start, end, match, text since the match before) of every match, in code points.
 
     What lies between matches comes from splitting at the same pattern.
     """
 
-    def walk(between: Column) -> Column:
-        def step(state: Column, i: Column) -> Column:
-            start = state["at"] + F.char_length(F.get(between, i))
-            end = start + F.char_length(F.get(matches, i))
-            return F.struct(end.alias("at"), F.concat(state["found"], F.array(F.struct(
-                start.alias("start"), end.alias("end"), F.get(matches, i).alias("match"), F.get(between, i).alias("before")))).alias("found"))
+    def all_of(found: Column, between: Column) -> Column:
+        ends = running(F.transform(found, lambda m, i: F.char_length(F.get(between, i)) + F.char_length(m)),
+                       "int", lambda a, b: a + b, F.lit(0))
+
+        def place(before: Column) -> Column:
+            def one(m: Column, i: Column) -> Column:
+                start = F.get(before, i) + F.char_length(F.get(between, i))
+                return F.struct(start.alias("start"), (start + F.char_length(m)).alias("end"), m.alias("match"),
+                                F.get(between, i).alias("before"))
 
-        empty = F.array().cast("array<struct<start:int,end:int,match:string,before:string>>")
-        return F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1),
-                           F.struct(F.lit(0).alias("at"), empty.alias("found")), step, lambda state: state["found"])
+            return F.transform(found, one)
 
-    return let(F.split(text, pattern, -1), walk)
+        return let(ends, place)
+
+    return let(matches, lambda found: let(F.split(text, pattern, -1), lambda between: all_of(found, between)))
 
 
 def _base_spans(text: Column, kind: str, matches: Column) -> Column:
@@ -138,7 +171,8 @@ def _all_base_spans(text: Column) -> Column:
 
 
 def row_key(doc_id: str, text: str) -> Column:
-    return F.xxhash64(doc_id, text)
+    """128 bits that name an id with its text."""
+    return F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), F.col(text)))
 
 
 def _shape(token: Column) -> Column:
@@ -162,10 +196,17 @@ def discovered_spans(read: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN
     seeds; a token's is the best of its patterns', and 1 for seeds. A span's kind is the
     kind that most seeds of its best pattern have.
     """
-    one = F.explode("mentions").alias("m")
-    seen = read.where(F.size("mentions") > 0).select("key", "base", one).select(
-        "key", "m.*", F.get(F.filter("base", lambda s: (s["start"] < F.col("m.end")) & (s["end"] > F.col("m.start"))), F.lit(0))["kind"].alias("seed"))
-    seen = seen.where("token != ''").distinct()
+    def cells(rows: DataFrame, start: str, end: str) -> DataFrame:
+        return rows.withColumn("cell", F.explode(F.sequence(
+            (F.col(start) / CELL).cast("int"), (F.greatest(F.col(end) - 1, F.col(start)) / CELL).cast("int"))))
+
+    some = read.where(F.size("mentions") > 0)
+    seen = some.select("key", F.explode("mentions").alias("m")).select("key", "m.*").where("token != ''").distinct()
+    spans = some.select("key", F.explode("base").alias("s")).select(
+        "key", F.col("s.kind").alias("kind"), F.col("s.start").alias("s_start"), F.col("s.end").alias("s_end")).distinct()
+    seeds = cells(seen.select("key", "start", "end"), "start", "end").join(cells(spans, "s_start", "s_end"), ["key", "cell"]).where(
+        "s_start < end AND s_end > start").groupBy("key", "start", "end").agg(F.min("kind").alias("seed"))
+    seen = written(seen.join(seeds, ["key", "start", "end"], "left"), "pii-tokens")
     with_patterns = seen.withColumn("pattern", F.explode(F.array(
         F.concat(F.lit("shape "), _shape(F.col("token"))),
         *[F.concat(F.lit(name), F.regexp_replace(side, "[0-9]", "9"), F.lit(" "), _coarse_shape(F.col("token")))
@@ -229,15 +270,29 @@ def redact_personal_data(docs: DataFrame, **settings) -> DataFrame:
     names = F.array(*[F.lit(f"[{k}]") for k in KINDS])
 
     def redacted(text: Column, ordered: Column) -> Column:
-        def step(state: Column, s: Column) -> Column:
-            clear = s["start"] >= state["at"]
-            return F.struct(
-                F.when(clear, s["end"]).otherwise(F.greatest(state["at"], s["end"])).alias("at"),
-                F.when(clear, F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.get(names, s["kind"])))
-                .otherwise(state["out"]).alias("out"))
+        """The text between the spans and the names of those that start behind all before them, joined once."""
+        def cut_up(t: Column, size: int, last: Column) -> Column:
+            return F.transform(F.sequence(F.lit(0), last), lambda n: F.substring(t, n * size + 1, F.lit(size)))
+
+        # finding a place takes as long as the text before it, so places are looked for in short chunks
+        large = cut_up(text, LARGE_CHUNK, (F.char_length(text) / LARGE_CHUNK).cast("int"))
+        chunks = F.flatten(F.transform(large, lambda t: cut_up(t, CHUNK, F.lit(LARGE_CHUNK // CHUNK - 1))))
+
+        def pieces(cut: Column, done: Column) -> Column:
+            def between(a: Column, b: Column) -> Column:
+                first, last = (a / CHUNK).cast("int"), (F.greatest(b - 1, a) / CHUNK).cast("int")
+                return F.substring(F.array_join(F.slice(cut, first + 1, last - first + 1), ""), a - first * CHUNK + 1, b - a)
+
+            def piece(s: Column, i: Column) -> Column:
+                at = F.get(done, i)
+                return F.when(s["start"] >= at, F.concat(between(at, s["start"]), F.get(names, s["kind"]))).otherwise(F.lit(""))
+
+            last = F.greatest(F.element_at(done, -1), F.element_at(ordered, -1)["end"])
+            tail = F.substring(text, last + 1, F.char_length(text))
+            return F.concat(F.array_join(F.transform(ordered, piece), ""), tail)
 
-        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-        return F.aggregate(ordered, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.char_length(text))))
+        ends = running(F.transform(ordered, lambda s: s["end"]), "int", lambda a, b: F.greatest(a, b), F.lit(0))
+        return F.when(F.size(ordered) == 0, text).otherwise(let(chunks, lambda cut: let(ends, lambda done: pieces(cut, done))))
 
     def by_start(spans: Column) -> Column:
         return F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))

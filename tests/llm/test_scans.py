@@ -195,6 +195,29 @@ def test_redaction_leaves_no_match_and_no_other_change(spark, odd_docs):
     assert sorted(map(repr, same.collect())) == sorted(map(repr, odd_docs.collect()))
 
 
+def test_running_folds_blocks_alike(spark):
+    from itertools import accumulate
+
+    from tessera.llm.pii import FOLD, running
+
+    for n in (0, 1, FOLD, FOLD + 1, 3 * FOLD + 7):
+        values = [(k * 7919) % 101 - 30 for k in range(n)]
+        df = spark.createDataFrame([(values,)], "v array<int>")
+        for merge, plain in ((lambda a, b: a + b, lambda a, b: a + b), (F.greatest, max)):
+            got = df.select(running(F.col("v"), "int", merge, F.lit(0)).alias("r")).first().r
+            assert got == list(accumulate(values, plain, initial=0))[:-1]
+
+
+def test_a_long_table_of_numbers_is_one_pass(spark):
+    parts = [f"10.{k % 256}.{k // 256}.7" if k % 3 else f"{k * 7919 % 100003}.{k % 13}" for k in range(60_000)]
+    text = "é😀 " + " ".join(parts)
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    found = find_personal_data(docs).first()
+    base = base_spans(text)
+    assert found.n_ip == len(base) == 40_000 and found.base_sha256 == hashlib.sha256(as_text(base).encode()).hexdigest()
+    assert redact_personal_data(docs).first().text == "é😀 " + " ".join("[ip]" if k % 3 else p for k, p in enumerate(parts))
+
+
 def test_personal_data_of_no_rows(no_docs):
     assert find_personal_data(no_docs).collect() == [] and redact_personal_data(no_docs).collect() == []
 
