@@ -203,14 +203,14 @@ class LicenseMatcher:
 
 
 def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, containment: float = CONTAINMENT, block: int = BLOCK) -> DataFrame:
-    """Per row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, nearest_labels.
+    """Per row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, candidate_labels.
 
     Words are runs of digits, letters and characters beyond ASCII, A-Z lowered. Base places are
     where a phrase's words stand in a row, overlapping ones too; ``first_word`` and ``last_word`` are null
-    without any. ``labels`` adds those of templates of which a block holds the share ``containment`` of the
-    distinct words or more; notices may be wrapped over lines. These are candidates: relatives such as the Creative Commons
-    notices match each other. ``nearest_labels`` has the base labels and, of each block's matches, those that
-    stand where no other label's template has a larger share. The score is 1 with a base place, else the largest such share, else 0.
+    without any. A template matches a block that holds the share ``containment`` of its distinct words or more; notices
+    may be wrapped over lines. ``candidate_labels`` adds the labels of all matching templates, among them relatives that
+    match each other's notices, such as the Creative Commons ones. ``labels`` adds only those that, in some block, stand where
+    no other label's template has a larger share. The score is 1 with a base place, else the largest share, else 0.
     Null and empty texts have no words and no labels. Every row is scanned by itself, so repeated
     rows and null ids need no rule; an empty table gives an empty result; extra columns are ignored.
     """
@@ -222,7 +222,7 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, contain
         matcher = LicenseMatcher(phrases, ordered, block)
         schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()),
                             ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()),
-                            ("nearest_labels", pa.string())])
+                            ("candidate_labels", pa.string())])
         for ids, texts in in_text_groups(batches, most=4_000_000):
             rows = []
             for doc_id, text in zip(ids, texts, strict=True):
@@ -232,9 +232,9 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, contain
                 close, nearest = matcher.templates_in(text, words) if not matcher.rare.isdisjoint(words) else ({}, set())
                 starts = [at for at, _ in places]
                 rows.append((doc_id, len(words), len(places), min(starts, default=None), max(starts, default=None),
-                             ",".join(sorted(base)), ",".join(sorted(base | set(close))),
-                             1.0 if base else max(close.values(), default=0.0), ",".join(sorted(base | nearest))))
+                             ",".join(sorted(base)), ",".join(sorted(base | nearest)),
+                             1.0 if base else max(close.values(), default=0.0), ",".join(sorted(base | set(close)))))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     return arrow_map(docs, run, "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
-                                "base_labels string, labels string, score double, nearest_labels string")
+                                "base_labels string, labels string, score double, candidate_labels string")
