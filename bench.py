@@ -22,7 +22,9 @@ warm-cache timings), ``first_run`` the first.
 ``wide`` (outside the headline total): the export at the published width (112
 columns, about 1.6 kB a row) and cardinality (about half a group per row, most
 sequences distinct), ``BENCH_WIDE`` times the rows of lineitem (default 1; 0
-disables), imported and reduced once, in GB/s and rows/s.
+disables), imported and reduced once, in GB/s and rows/s; the two lookups also run
+on its reduced table. ``yardstick_s`` times a fixed aggregate: divide by it to
+compare runs on machines of different speed.
 
 Prints one JSON line.
 """
@@ -131,6 +133,19 @@ def _wide(spark, sf_dir: str, cpus: int, factor: int) -> dict:
     reduced = write_reduced_table(reduce_to_grain(extract_fields(table)), _scratch(spark, "bench-wide-reduced"))
     t_reduce = time.perf_counter() - t0
     rows, n_reduced = int(summary["rows"]), reduced.count()
+    some = reduced.where("sequence is not null").select("sequence").first()["sequence"]
+    swapped = some[:2] + some[3] + some[2] + some[4:]
+
+    def best_of(n, fn):
+        times = []
+        for _ in range(n):
+            t0 = time.perf_counter()
+            fn()
+            times.append(time.perf_counter() - t0)
+        return round(min(times), 3)
+
+    lookup_s = best_of(3, lambda: exact_lookup(reduced, "sequence", some).collect())
+    sweep_s = best_of(3, lambda: fuzzy_sweep(reduced.where(F.col("peptide_length") == 9), "sequence", swapped, 2).collect())
     return {
         "columns": WIDTH,
         "rows": rows,
@@ -141,9 +156,21 @@ def _wide(spark, sf_dir: str, cpus: int, factor: int) -> dict:
         "reduce_s": round(t_reduce, 3),
         "import_gb_per_sec": round(summary["input_bytes"] / 1e9 / t_import, 3),
         "reduce_rows_per_sec": round(rows / t_reduce),
+        "exact_lookup_s": lookup_s,
+        "fuzzy_sweep_s": sweep_s,
     }
 
 
+def _yardstick(spark) -> float:
+    """Seconds of a fixed aggregate, so that runs on machines of different speed can be compared."""
+    def run() -> float:
+        t0 = time.perf_counter()
+        spark.range(60_000_000).select(F.xxhash64("id").alias("h")).groupBy(F.pmod("h", F.lit(1000))).agg(F.sum(F.col("h") % 97)).collect()
+        return time.perf_counter() - t0
+
+    return round(min(run() for _ in range(3)), 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -184,6 +211,7 @@ def main() -> None:
         "import": {"input_bytes": summary["input_bytes"], "output_bytes": summary["output_bytes"],
                    "compression": summary["compression"]},
         "cpus": cpus,
+        "yardstick_s": _yardstick(spark),
         "wide": wide,
     }
     print(json.dumps(out))
