@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUOTE = '"'
-BOM = "﻿"
+BOM = "\ufeff"
 #: Stands for a quoted part while a record is tested; the reader's null marker, so never in the data.
 MARK = "\u0001"
 
@@ -41,14 +41,15 @@ class SplitPlan:
 
     ``crossing``: split that starts inside quotes -> (split in which that record starts, its turn in the record).
     ``skip``: split -> lines left out at its start. ``first``: the files' first splits. ``crlf``: splits of files whose
-    lines end in CR LF.
+    lines end in CR LF. ``splits``: all of them; a scan that is cut otherwise (after a change of the session's split
+    size, or of a file) is refused.
     """
 
     crossing: dict[int, tuple[int, int]] = field(default_factory=dict)
     skip: dict[int, int] = field(default_factory=dict)
     first: set[int] = field(default_factory=set)
     crlf: set[int] = field(default_factory=set)
-    n_splits: int = 0
+    splits: set[int] = field(default_factory=set)
 
 
 def _lines(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
@@ -90,8 +91,8 @@ def plan_splits(spark: SparkSession, paths: list[str], skip_lines: dict[str, int
         F.max(odd).alias("changes"), F.bit_xor(odd).alias("odd"), F.count(F.lit(1)).alias("n_lines"),
         F.min_by(F.struct(return_at.alias("at"), F.char_length(value).alias("length")), "line").alias("first_return"),
     ).collect()
-    plan = SplitPlan(n_splits=len(splits))
-    if len({s.split for s in splits}) != len(splits):
+    plan = SplitPlan(splits={s.split for s in splits})
+    if len(plan.splits) != len(splits):
         raise RuntimeError("two splits share an identifier")
     to_skip = {_place(p): n for p, n in (skip_lines or {}).items()}
     splits.sort(key=lambda s: (s.file_path, s.file_block_start))
@@ -126,6 +127,8 @@ class _Assembler:
     """Joins the lines of one split into records and pieces of records that cross its edges."""
 
     def __init__(self, split: int, plan: SplitPlan):
+        if split not in plan.splits:
+            raise RuntimeError("files are not cut into the splits that were planned; read them again")
         self.split, self.skip, self.strip_return = split, plan.skip.get(split, 0), split in plan.crlf
         self.piece = plan.crossing.get(split)  # the record under way began in an earlier split
         self.inside = self.piece is not None

@@ -84,8 +84,8 @@ def test_header_over_split_edges(spark, tmp_path, split_size):
 def test_byte_order_marks_and_names_with_blanks(spark, tmp_path, split_size):
     folder = tmp_path / "some shards 100%"
     folder.mkdir()
-    (folder / "an e_00.csv").write_bytes(("﻿" + HEADER + "1,2,3,4\n").encode())
-    (folder / "an e_01.csv").write_bytes("﻿\"5\n\",6,7,8\n".encode())
+    (folder / "an e_00.csv").write_bytes(("\ufeff" + HEADER + "1,2,3,4\n").encode())
+    (folder / "an e_01.csv").write_bytes("\ufeff\"5\n\",6,7,8\n".encode())
     split_size(8)
     assert rows(sc.read_sharded_csv(spark, str(folder), split=True)) == rows(sc.read_sharded_csv(spark, str(folder), split=False))
 
@@ -107,7 +107,7 @@ def test_no_second_pass_without_crossing_records(spark, tmp_path, split_size):
     split_size(500)
     shards = sc.list_shards(spark, path)
     plan = plan_splits(spark, shards, {shards[0]: 2})
-    assert plan.n_splits > 5 and not plan.crossing
+    assert len(plan.splits) > 5 and not plan.crossing
     assert "Union" not in split_records(spark, shards, plan)._jdf.queryExecution().optimizedPlan().toString()
 
 
@@ -126,6 +126,15 @@ def test_what_cannot_be_proven_raises(spark, tmp_path, split_size, text, message
         sc.read_sharded_csv(spark, path, split=True).collect()
 
 
+def test_other_splits_than_planned_raise(spark, tmp_path, split_size):
+    path = write(tmp_path / "s", ["".join(f'{n},"a\n",b,c\n' for n in range(100))])
+    split_size(90)
+    df = sc.read_sharded_csv(spark, path, split=True)
+    split_size(70)
+    with pytest.raises(Exception, match="splits that were planned"):
+        df.collect()
+
+
 def test_lone_carriage_returns_raise(spark, tmp_path):
     path = write(tmp_path / "s", ["1,2,3,4\r"], HEADER.replace("\n", "\r"))
     with pytest.raises(ValueError, match="lone carriage return"):
