@@ -16,6 +16,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -83,9 +84,12 @@ def bounds(anchors: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.n
 
 def _matrix(rows: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Lists of integers as a matrix, shorter ones filled with zeros."""
-    lists = rows.to_pylist()
-    out = np.zeros((len(lists), max(map(len, lists), default=0)), np.int64)
-    for place, values in enumerate(lists):
+    lists = rows.combine_chunks() if isinstance(rows, pa.ChunkedArray) else rows
+    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    if len(lengths) and (lengths == lengths[0]).all():
+        return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(lengths), -1)
+    out = np.zeros((len(lengths), lengths.max(initial=0)), np.int64)
+    for place, values in enumerate(lists.to_pylist()):
         out[place, :len(values)] = values
     return out
 
@@ -137,32 +141,53 @@ _BLOCKS = ("block bigint, part int, label string, anchors_before bigint, ids arr
            "low array<bigint>, high array<bigint>, vectors binary")
 
 
-def _to_blocks(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of one label from sorted rows; a row equal to the one before it is left out."""
-    part = TaskContext.get().partitionId()
-    number = anchors = 0
-    held: list[dict] = []
+def _sorted_parts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]]:
+    """(label, parts of ids, anchors and vectors) of each block; a row equal to the one before it is left out."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    label_held, n_held, before = None, 0, None
+    for batch in batches:
+        ids = batch.column("id").to_numpy()
+        labels = batch.column("label").to_numpy(zero_copy_only=False)
+        anchor = batch.column("anchor").to_numpy(zero_copy_only=False)
+        lengths, v = pc.list_value_length(batch.column("v")).to_numpy(), _matrix(batch.column("v"))
+        if not len(ids):
+            continue
+        again = np.zeros(len(ids), dtype=bool)
+        again[1:] = (ids[1:] == ids[:-1]) & (labels[1:] == labels[:-1]) & (lengths[1:] == lengths[:-1]) & (v[1:] == v[:-1]).all(axis=1)
+        again[0] = before == (ids[0], labels[0], batch.column("v")[0].as_py())
+        before = (ids[-1], labels[-1], batch.column("v")[-1].as_py())
+        kept = np.flatnonzero(~again)
+        ends = [*(np.flatnonzero(labels[kept][1:] != labels[kept][:-1]) + 1), len(kept)]
+        start = 0
+        for end in ends:
+            while start < end:
+                label = labels[kept[start]]
+                if held and (label != label_held or n_held == size):
+                    yield label_held, held
+                    held, n_held = [], 0
+                some = kept[start:min(end, start + size - n_held)]
+                held.append((ids[some], anchor[some], v[some]))
+                label_held, n_held, start = label, n_held + len(some), start + len(some)
+    if held:
+        yield label_held, held
 
-    def block() -> pa.RecordBatch:
-        v = _matrix(pa.array([r["v"] for r in held], pa.list_(pa.int64())))
-        return pa.RecordBatch.from_pylist([{
-            "block": part << 32 | number, "part": part, "label": held[0]["label"], "anchors_before": anchors,
-            "ids": [r["id"] for r in held], "anchor": [r["anchor"] for r in held], "low": v.min(axis=0).tolist(),
-            "high": v.max(axis=0).tolist(), "vectors": v.astype("<i4").tobytes()}], schema)
 
+def _to_blocks(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of one label from sorted rows."""
+    part = TaskContext.get().partitionId()
+    n_anchors = 0
     ints = pa.list_(pa.int64())
     schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("label", pa.string()), ("anchors_before", pa.int64()),
                         ("ids", ints), ("anchor", pa.list_(pa.bool_())), ("low", ints), ("high", ints), ("vectors", pa.binary())])
-    for batch in batches:
-        for row in batch.to_pylist():
-            if held and row == held[-1]:
-                continue
-            if held and (row["label"] != held[0]["label"] or len(held) == size):
-                yield block()
-                number, anchors, held = number + 1, anchors + sum(r["anchor"] for r in held), []
-            held.append(row)
-    if held:
-        yield block()
+    for number, (label, parts) in enumerate(_sorted_parts(batches, size)):
+        width = max(v.shape[1] for _, _, v in parts)
+        v = np.concatenate([np.pad(v, ((0, 0), (0, width - v.shape[1]))) for _, _, v in parts])
+        anchor = np.concatenate([a for _, a, _ in parts])
+        yield pa.RecordBatch.from_pylist([{
+            "block": part << 32 | number, "part": part, "label": label, "anchors_before": n_anchors,
+            "ids": np.concatenate([i for i, _, _ in parts]), "anchor": anchor, "low": v.min(axis=0), "high": v.max(axis=0),
+            "vectors": v.astype("<i4").tobytes()}], schema)
+        n_anchors += int(anchor.sum())
 
 
 def _vectors(data: bytes, n: int) -> np.ndarray:
