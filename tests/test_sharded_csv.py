@@ -332,3 +332,18 @@ def test_sample_of_many_shards_is_one_scan(spark, tmp_dir):
     want = [*range(3), *(100 * n + i for n in range(1, 40) for i in range(min(3, n % 5 * 2)))]
     assert sorted(r.g_k for r in df.collect()) == want  # the wide record lies past the sample
     assert df._jdf.queryExecution().executedPlan().toString().count("Scan csv") <= 4
+
+
+def test_each_shard_is_written_by_its_own_task(spark, tmp_dir):
+    df = spark.range(400).select("id", F.spark_partition_id().alias("v"))
+    out = os.path.join(tmp_dir, "out")
+    seen = []
+    real = type(df).repartitionById
+    try:
+        type(df).repartitionById = lambda self, *a: seen.append(real(self, *a)) or seen[-1]
+        write_sharded_csv(df, out, "t", 16, ["G", "G"], ["k", "v"], shard_col=F.col("id") % 16)
+    finally:
+        type(df).repartitionById = real
+    per_task = seen[0].groupBy(F.spark_partition_id()).agg(F.countDistinct("__shard").alias("n")).collect()
+    assert [r.n for r in per_task] == [1] * 16
+    assert read_sharded_csv(spark, out).count() == 400
