@@ -5,6 +5,8 @@ import os
 import pytest
 
 from tessera.plans import export_frame as frames
+from tessera.plans import export_import
+from tessera.sources.sharded_csv import list_shards
 
 
 @pytest.fixture()
@@ -30,3 +32,12 @@ def test_join_tasks_follow_the_rows(spark, tables, monkeypatch):
         assert sorted(map(repr, df.collect())) == want and len(want) == 60
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_large_shards_grow_in_number(spark, tables, monkeypatch):
+    seen = []
+    real = export_import.write_sharded_csv
+    monkeypatch.setattr(export_import, "write_sharded_csv", lambda df, out, *a, **b: seen.append(out) or real(df, out, *a, **b))
+    monkeypatch.setattr(export_import, "SPLIT_SHARD_ROWS", 10)
+    assert export_import.q_import_in_splits(spark, tables).count() == 60
+    assert 2 < len(list_shards(spark, seen[0])) <= 7
