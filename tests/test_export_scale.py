@@ -1,12 +1,14 @@
 """Tasks of the derived exports stay small, whatever the number of rows."""
 
+import hashlib
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.plans import export_frame as frames
 from tessera.plans import export_import
-from tessera.sources.sharded_csv import list_shards
+from tessera.sources.sharded_csv import list_shards, read_sharded_csv, write_sharded_csv
 
 
 @pytest.fixture()
@@ -41,3 +43,24 @@ def test_large_shards_grow_in_number(spark, tables, monkeypatch):
     monkeypatch.setattr(export_import, "SPLIT_SHARD_ROWS", 10)
     assert export_import.q_import_in_splits(spark, tables).count() == 60
     assert 2 < len(list_shards(spark, seen[0])) <= 7
+
+
+def test_packed_shards_read_like_plain_ones(spark, tmp_dir):
+    df = spark.range(90).selectExpr("id as k", "concat('a\n\"', id, '\", b') as v")
+    rows = []
+    for codec, ending in ((None, ".csv"), ("gzip", ".csv.gz")):
+        out = os.path.join(tmp_dir, f"out{codec}")
+        paths = write_sharded_csv(df, out, "t", 11, ["G", "G"], ["k", "v"], shard_col=F.col("k") % 11, codec=codec)
+        assert [p.rsplit("/", 1)[-1] for p in paths] == [f"t_{n:02d}{ending}" for n in range(11)]
+        rows += [sorted(map(tuple, read_sharded_csv(spark, out, casts={"G - k": "bigint"}, split=split).collect())) for split in (None, True)]
+    assert rows == [sorted(map(tuple, df.collect()))] * 4
+
+
+def test_digests_sort_no_rows(spark):
+    df = spark.createDataFrame([(1, None, "b"), (None, 2.5, "a"), (3, 0.5, None)], "i int, d double, s string")
+    digests = export_import.column_digests(df)
+    got = {r.column_name: tuple(r)[1:] for r in digests.collect()}
+    want = sum(int(hashlib.md5(x).hexdigest()[:8], 16) for x in (b"a", b"b"))
+    assert got == {"i": ("int", 3, 2, 8, 1.0, 3.0, None, None), "d": ("double", 3, 2, 6, 0.5, 2.5, None, None),
+                   "s": ("string", 3, 2, None, None, None, want, "b")}
+    assert " Sort " not in digests._jdf.queryExecution().executedPlan().toString()
