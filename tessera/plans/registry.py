@@ -189,9 +189,13 @@ def q_bloom_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_lists(exact_lookup(by_id, "mhc_allele", LOOKUP_ALLELE))
 
 
+#: Rows of a task that infers types, about: 112 values each.
+TYPED_ROWS = 50_000
+
+
 def q_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     # every column of the wide export as text, back to its type
-    e = wide_export_frame(spark, sf_dir)
+    e = wide_export_frame(spark, sf_dir, TYPED_ROWS)
     return infer_types(e.select(*[F.col(c).cast("string").alias(c) for c in e.columns]))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans import export_frame as frames
 from tessera.plans import export_import
+from tessera.plans.wide_export import wide_export_frame
 from tessera.sources.sharded_csv import list_shards, read_sharded_csv, write_sharded_csv
 
 
@@ -64,3 +65,10 @@ def test_digests_sort_no_rows(spark):
     assert got == {"i": ("int", 3, 2, 8, 1.0, 3.0, None, None), "d": ("double", 3, 2, 6, 0.5, 2.5, None, None),
                    "s": ("string", 3, 2, None, None, None, want, "b")}
     assert " Sort " not in digests._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_dealt_before_they_widen(spark, tables):
+    # one scan task and a broadcast join, but a task for each 10 rows that are widened
+    wide = wide_export_frame(spark, tables, task_rows=10)
+    assert wide.rdd.getNumPartitions() == 7
+    assert sorted(map(repr, wide.collect())) == sorted(map(repr, wide_export_frame(spark, tables).collect()))

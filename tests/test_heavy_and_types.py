@@ -130,6 +130,27 @@ def test_types_of_no_rows(spark):
     assert [(r.column_name, r.type, r.n_rows) for r in got] == [("a", "null", 0), ("b", "null", 0)]
 
 
+def test_extremes_of_odd_values(spark):
+    df = typed(spark, {
+        "a": ["-9223372036854775808", "7", "+9223372036854775807"], "b": ["1e999", "-2.5e-3", "5."], "c": ["5\n", "-7\r\n", None],
+        "d": ["12345678901234567890123", "1", "2"], "e": ["3\u2028", "1", "2"], "f": ["-0", None, None], "g": ["1.5\r", "+2", "x"],
+        "h": [None, "123456789012345", "1.5"]})
+    got = {r.column_name: tuple(r)[1:] for r in infer_types(df.repartition(2)).collect()}
+    assert got == {
+        "a": ("bigint", 3, 3, -9223372036854775808.0, 9223372036854775807.0), "b": ("double", 3, 3, -0.0025, float("inf")),
+        "c": ("smallint", 3, 2, -7.0, 5.0), "d": ("string", 3, 3, None, None), "e": ("string", 3, 3, None, None),
+        "f": ("smallint", 3, 1, -0.0, -0.0), "g": ("string", 3, 3, None, None), "h": ("double", 3, 2, 1.5, 123456789012345.0)}
+
+
+def test_types_take_one_row_per_column_and_task(spark):
+    # no row per value: what leaves a task does not grow with its rows
+    df = spark.range(5000, numPartitions=2).selectExpr("cast(id as string) as a", "concat('t', id) as b")
+    plan = infer_types(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "Generate" not in plan
+    assert [tuple(r) for r in infer_types(df).orderBy("column_name").collect()] == [
+        ("a", "smallint", 5000, 5000, 0.0, 4999.0), ("b", "string", 5000, 5000, None, None)]
+
+
 def test_types_merge_in_any_order(spark):
     rnd = random.Random(4)
     values = ["1", "-7", "40000", "3000000000", "1.25", None]
