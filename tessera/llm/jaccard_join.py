@@ -4,7 +4,8 @@ Rows are the distinct shingle sets, columns the shingles, dealt over tasks in bl
 With the columns of each row ordered from rare to frequent, a pair that reaches the threshold
 shares one of the leading columns of both, so only those are multiplied; and where a shared column
 stands in both rows bounds what can still be shared. Pairs below the bound that their sizes set are
-discarded, the others get their whole row product.
+discarded, the others get their whole row product if sketches of both rows, which bound from below in
+how many columns they differ, leave the threshold possible.
 
 The product runs twice. First each column multiplies with its leading row only, and each row keeps
 the leading row that it meets most often, which links most of a large group of near copies through
@@ -81,6 +82,32 @@ def set_digest(grams: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(grams.tobytes())
 
 
+def half_of(node: bytes) -> np.int64:
+    """The first 64 bits of a set digest, as Spark reads them from its hex digits."""
+    return np.frombuffer(node, dtype=">i8", count=1)[0].astype(np.int64)
+
+
+def parity_sketch(grams: np.ndarray) -> bytes:
+    """Whether an odd number of the shingles falls on each of as many bits, the next power of two."""
+    bits = max(64, 1 << (len(grams) - 1).bit_length())
+    return np.packbits(np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) % 2 == 1).tobytes()
+
+
+def may_link(percent: int, sketch_a: bytes, size_a: int, sketch_b: bytes, size_b: int) -> bool:
+    """Whether sets with these sketches can reach the threshold.
+
+    A shingle that one set alone has flips one bit, so the sets differ in as many shingles as their sketches
+    in bits, at least. The longer sketch is folded to the other's length.
+    """
+    a, b = np.frombuffer(sketch_a, dtype=np.uint8), np.frombuffer(sketch_b, dtype=np.uint8)
+    if len(a) < len(b):
+        a, b = b, a
+    while len(a) > len(b):
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    differ = int(np.bitwise_count(a ^ b).sum())
+    return (size_a + size_b - differ) * (100 + percent) >= 2 * percent * (size_a + size_b)
+
+
 def needed_share(percent: int, size: np.ndarray | int) -> int:
     """Least overlap of a set of ``size`` with any set that reaches the threshold."""
     return -(-percent * size // 100)
@@ -89,15 +116,15 @@ def needed_share(percent: int, size: np.ndarray | int) -> int:
 # ------------------------------------------------------------- passes over the texts
 
 def _summaries(docs: DataFrame, n: int) -> DataFrame:
-    """Rows of two kinds: a document's set size and set digest; a cell's count of repeated shingles."""
+    """Rows of two kinds: a document's set size, set digest and sketch; a cell's count of repeated shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(n)
         cells = np.zeros(CELLS, dtype=np.int64)
-        schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("cell", pa.int32()),
-                            ("n", pa.int64())])
+        schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("sketch", pa.binary()),
+                            ("cell", pa.int32()), ("n", pa.int64())])
         for ids, texts in in_text_groups(batches):
-            sizes, nodes, own = [], [], {}
+            sizes, nodes, sketches, own = [], [], [], {}
             for t in texts:
                 grams = shingle(t)
                 node = set_digest(grams) if len(grams) else None
@@ -105,32 +132,33 @@ def _summaries(docs: DataFrame, n: int) -> DataFrame:
                     own.setdefault(node, grams)
                 sizes.append(len(grams))
                 nodes.append(node)
+                sketches.append(parity_sketch(grams) if node else None)
             if own:
                 # shingles that several sets of these texts have; the others would only add noise
                 grams, counts = np.unique(np.concatenate(list(own.values())), return_counts=True)
                 more = counts > 1
                 np.add.at(cells, grams[more].astype(np.int64) & (CELLS - 1), counts[more])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.nulls(len(ids), pa.int32()),
-                 pa.nulls(len(ids), pa.int64())], schema=schema)
+                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
+                 pa.array(sketches, pa.binary()), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.int64())], schema=schema)
         used = np.flatnonzero(cells)
         for part in np.array_split(used, max(1, len(used) // 50_000)):
             if len(part):
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.binary()),
-                     pa.array(part.astype(np.int32)), pa.array(cells[part])], schema=schema)
+                     pa.nulls(len(part), pa.binary()), pa.array(part.astype(np.int32)), pa.array(cells[part])], schema=schema)
 
-    return arrow_map(docs, run, "doc_id bigint, n_shingles bigint, node binary, cell int, n bigint")
+    return arrow_map(docs, run, "doc_id bigint, n_shingles bigint, node binary, sketch binary, cell int, n bigint")
 
 
 def _leading_columns(docs: DataFrame, n: int, percent: int, frequency) -> DataFrame:
-    """(gram, node, size, pos) for the leading shingles of each distinct set, rare ones first."""
+    """(gram, half, size, pos) for the leading shingles of each distinct set, rare ones first; half the digest names the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, seen = Shingler(n), set()
         of_cell = frequency.value
         for _, texts in in_text_groups(batches, most=4_000_000):
-            gram_parts, nodes, sizes, positions = [], [], [], []
+            gram_parts, halves, sizes, positions = [], [], [], []
             for t in texts:
                 grams = shingle(t)
                 size = len(grams)
@@ -143,16 +171,16 @@ def _leading_columns(docs: DataFrame, n: int, percent: int, frequency) -> DataFr
                 often = of_cell[grams.astype(np.int64) & (CELLS - 1)]
                 # the hash breaks ties, and grams are sorted by it
                 gram_parts.append(grams[np.argsort(often, kind="stable")[:lead]])
-                nodes += [node] * lead
+                halves.append(np.full(lead, half_of(node)))
                 sizes.append(np.full(lead, size, dtype=np.int32))
                 positions.append(np.arange(lead, dtype=np.int32))
-            if nodes:
+            if halves:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(gram_parts).view(np.int64)), pa.array(nodes, pa.binary()),
+                    [pa.array(np.concatenate(gram_parts).view(np.int64)), pa.array(np.concatenate(halves)),
                      pa.array(np.concatenate(sizes)), pa.array(np.concatenate(positions))],
-                    names=["gram", "node", "size", "pos"])
+                    names=["gram", "half", "size", "pos"])
 
-    return arrow_map(docs, run, "gram bigint, node binary, size int, pos int")
+    return arrow_map(docs, run, "gram bigint, half bigint, size int, pos int")
 
 
 def _wanted_texts(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
@@ -181,8 +209,25 @@ def _wanted_texts(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
     return arrow_map(docs.select("doc_id", "text", cell.alias("cell")), run, "doc_id bigint, node binary, text string")
 
 
+def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of ids whose sketches leave the threshold possible, so that few others have their texts compared."""
+    of = nodes.select("rep", "sketch", "size")
+    both = pairs.join(of.toDF("a", "sketch_a", "size_a"), "a").join(of.toDF("b", "sketch_b", "size_b"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [batch.column(c).to_pylist() for c in ("sketch_a", "size_a", "sketch_b", "size_b")]
+            keep = [k for k, side in enumerate(zip(*sides, strict=True)) if may_link(percent, *side)]
+            if keep:
+                yield batch.select(["a", "b"]).take(pa.array(keep))
+
+    # an id with several sets has a row for each
+    return written(arrow_map(both.select("a", "b", "sketch_a", "size_a", "sketch_b", "size_b"), run, "a bigint, b bigint").distinct(), "near")
+
+
 def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of ids whose whole sets reach the threshold."""
+    pairs = _near(pairs, nodes, percent)
     ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     wanted = written(ends.join(nodes.select(F.col("rep").alias("doc_id"), "node"), "doc_id"), "compare")
     # the bit table may let others pass; the join does not
@@ -314,19 +359,23 @@ def _components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataF
     """(doc_id, n_shingles, node) of every row, and (node, rep, component_id) of every set that an id has."""
     spark = docs.sparkSession
     both = written(_summaries(docs, n), "sets")
-    sets = both.where("cell is null").select("doc_id", "n_shingles", "node")
+    sets = both.where("cell is null").select("doc_id", "n_shingles", "node", "sketch")
     counted = both.where("cell is not null").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most CELLS rows
     frequency = np.zeros(CELLS, dtype=np.int64)
     frequency[counted.column("cell").to_numpy()] = counted.column("n").to_numpy()
     frequency = spark.sparkContext.broadcast(np.minimum(frequency, 2**31 - 1).astype(np.int32))
-    nodes = written(sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "nodes")
+    nodes = written(sets.where("node is not null").groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("size"), F.any_value("sketch").alias("sketch")).where(
+        "rep is not null"), "nodes")
 
     # entries of columns that more than one row has, rows named by their smallest document
     entries = written(_leading_columns(docs, n, percent, frequency), "columns")
-    shared = entries.select("gram", "node").groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gram")
+    shared = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gram")
     entries = entries.join(shared, "gram", "left_semi")
+    # sets that have half a digest in common get each other's entries too, which only adds pairs to compare
+    halves = nodes.select(F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("bigint").alias("half"), "rep")
     entries = written(
-        entries.join(nodes, "node").groupBy("gram", "rep").agg(F.min("size").alias("size"), F.min("pos").alias("pos")), "entries")
+        entries.join(halves, "half").groupBy("gram", "rep").agg(F.min("size").alias("size"), F.min("pos").alias("pos")), "entries")
 
     leaders = entries.groupBy("gram").agg(F.min(F.struct("pos", "size", "rep")).alias("lead"), F.count(F.lit(1)).alias("k"))
     near_lead = entries.join(leaders.where("k > 1"), "gram").where(
@@ -368,7 +417,7 @@ def _components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataF
 
     named = nodes.join(components.withColumnRenamed("id", "rep"), "rep", "left").select(
         "node", "rep", F.coalesce("component", "rep").alias("component_id"))
-    return sets, named
+    return sets.drop("sketch"), named
 
 
 def similar_documents(docs: DataFrame, n: int = 3, percent: int = 90, tile_rows: int = TILE_ROWS,
