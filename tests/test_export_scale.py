@@ -2,13 +2,15 @@
 
 import hashlib
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.plans import export_frame as frames
 from tessera.plans import export_import
-from tessera.plans.wide_export import wide_export_frame
+from tessera.plans.wide_export import EXPORT_COLUMNS, wide_export_frame
+from tessera.session import SHUFFLE_CLEANUP
 from tessera.sources.sharded_csv import list_shards, read_sharded_csv, write_sharded_csv
 
 
@@ -72,3 +74,37 @@ def test_rows_are_dealt_before_they_widen(spark, tables):
     wide = wide_export_frame(spark, tables, task_rows=10)
     assert wide.rdd.getNumPartitions() == 7
     assert sorted(map(repr, wide.collect())) == sorted(map(repr, wide_export_frame(spark, tables).collect()))
+
+
+def test_wide_rows_are_dealt_as_narrow_ones(spark, tables, monkeypatch):
+    width = []
+    frame = type(spark.range(1))
+    real = frame.repartitionById
+    monkeypatch.setattr(frame, "repartitionById", lambda self, *a: width.append(len(self.columns)) or real(self, *a))
+    n_rows = {r.n_rows for r in export_import.q_import_wide(spark, tables).collect()}
+    assert n_rows == {60} and width == [len(EXPORT_COLUMNS) + 3]  # shard, rank and order beside E
+
+
+def test_columns_made_where_shards_are_written(spark, tmp_dir):
+    df = spark.range(40).selectExpr("id as k", "if(id % 3 = 0, null, id + 0.5d) as d")
+    made = [F.col("k"), (F.col("k") + 1).alias("next"), F.concat(F.lit('a\n"'), F.col("d").cast("string")).alias("text")]
+    rows = []
+    for name, frame, columns in (("wide", df.select(*made), None), ("narrow", df, made)):
+        out = os.path.join(tmp_dir, name)
+        write_sharded_csv(frame, out, "t", 3, ["G", "", None], ["k", "n", "t"], shard_col=F.col("k") % 3, order_col=-F.col("k"), columns=columns)
+        rows.append([open(p.removeprefix("file:"), newline="").read() for p in list_shards(spark, out)])
+    assert rows[0] == rows[1] and rows[0][0].startswith('G,"",\nk,n,t\n39,40,\n')
+    with pytest.raises(ValueError, match="one group and one field"):
+        write_sharded_csv(df, out, "t", 3, ["G", "G"], ["k", "n"], shard_col=F.col("k") % 3, columns=made)
+
+
+def test_shuffle_files_go_when_shards_are_written(spark, tmp_dir):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffle_files():
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.\w+", blocks.getAllFiles().mkString(" ")))
+
+    before = shuffle_files()
+    write_sharded_csv(spark.range(90), os.path.join(tmp_dir, "out"), "t", 3, ["G"], ["k"], shard_col=F.col("id") % 3)
+    assert shuffle_files() <= before
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
